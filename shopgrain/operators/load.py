@@ -10,6 +10,7 @@ so a lost job leaves the previous state readable.
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from shopgrain.operators.dedup import keep_latest
 from shopgrain.schemas import TABLES, Table
 from shopgrain.session import written
 
+BYTES_PER_TASK = 256 * 1024 * 1024
+
 # --------------------------------------------------------------- DataFrames
 
 
@@ -148,13 +151,30 @@ def _on_days(days: set[dt.date | None]) -> Column:
     return cond | F.col("sale_date").isNull() if None in days else cond
 
 
-def _write_days(df: DataFrame, path: str, mode: str) -> None:
-    """Write by day, with even tasks: large days split, small ones merged."""
+def _tasks(df: DataFrame, days: int) -> int:
+    """Write tasks for a written input: by size, and by days if these are many."""
+    spark = df.sparkSession
+    size = 0
+    for file in df.inputFiles()[:1]:
+        fs, folder = _hadoop(spark, file.rsplit("/", 1)[0])
+        size = fs.getContentSummary(folder).getLength()
+    by_days = min(days, spark.sparkContext.defaultParallelism)
+    return max(1, by_days, math.ceil(size / BYTES_PER_TASK))
+
+
+def _write_days(df: DataFrame, path: str, keys: list[str], days: int) -> None:
+    """Write by day in even tasks.
+
+    Ranges over (day, key) keep a day in few files and still cut one that
+    holds a large share of the rows; files are sorted by key for skipping.
+    """
+    order = ["sale_date", *keys]
     (
-        df.hint("rebalance", "sale_date")
+        df.repartitionByRange(_tasks(df, days), *order)
+        .sortWithinPartitions(*order)
         .write.partitionBy("sale_date")
         .option("partitionOverwriteMode", "dynamic")
-        .mode(mode)
+        .mode("overwrite")
         .parquet(path)
     )
 
@@ -173,23 +193,23 @@ def load_fact(spark: SparkSession, table: Table, path: str, batch: DataFrame) ->
     """
     keys = list(table.key)
     batch = written(batch, f"{table.name}-batch")
+    new_days = _days_of(batch)
     if not _has_data(spark, path):
-        _write_days(batch, path, "overwrite")
+        _write_days(batch, path, keys, len(new_days))
         return
     existing = read_fact(spark, table, path)
     incoming = batch.select(keys)
     seen_before = existing.select(*keys, "sale_date").join(
         incoming, _same_key(existing, incoming, keys, True), "left_semi"
     )
-    new_days = _days_of(batch)
     touched = new_days | _days_of(seen_before)
     merged = written(
         upsert(existing.where(_on_days(touched)), batch, keys, True),
         f"{table.name}-days",
     )
-    emptied = touched - _days_of(merged)
-    _write_days(merged, path, "overwrite")
-    for day in emptied:
+    filled = _days_of(merged)
+    _write_days(merged, path, keys, len(filled))
+    for day in touched - filled:
         _remove(spark, _day_dir(path, day))
 
 
@@ -202,10 +222,10 @@ def load_fact_day(
     days, which `load_fact` avoids.
     """
     batch = written(batch, f"{table.name}-batch")
-    on_day = F.col("sale_date").eqNullSafe(F.lit(day).cast("date"))
+    others = read_fact(spark, table, path).where(_on_days(_days_of(batch)))
+    rows = written(replace_day(others, batch, day), f"{table.name}-days")
     _remove(spark, _day_dir(path, day))
-    _write_days(batch.where(on_day), path, "append")
-    _write_days(batch.where(~on_day), path, "append")
+    _write_days(rows, path, list(table.key), len(_days_of(rows)))
 
 
 def _snapshots(spark: SparkSession, path: str) -> list[str]:

@@ -21,7 +21,9 @@ RUNTIME_SETTINGS = {
     # most joins here are on order_id and feed an aggregate that would
     # otherwise reuse the join's partitioning and so forbid the split.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # List the day directories of a fact table in some hundred tasks, not in
+    # one task per directory.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
 }
 
 
