@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopgrain.operators.joins import own_shuffle
+
 # Trimmed, lower-case spellings of "no value".
 NULL_TOKENS = ["", "null", "none", "na", "n/a", "nan"]
 NULL_MARK = "NA"
@@ -120,13 +122,12 @@ def flag_orphans(
 ) -> DataFrame:
     """Add a flag telling rows whose `key` has no row in `parent`.
 
-    The parent side is reduced to distinct keys first, so no row is doubled
-    and a key held by very many parent rows costs one row.
+    The parent is reduced to distinct keys first, so repeated ones double
+    nothing.  A NULL key is an orphan.
     """
-    known = parent.select(key).distinct().withColumn("_known", F.lit(True))
+    known = own_shuffle(parent.select(key).distinct(), key)
     return (
-        df.join(known, key, "left")
+        df.join(known.withColumn("_known", F.lit(True)), key, "left")
         .withColumn(name, F.col("_known").isNull())
-        .drop("_known")
         .select(*df.columns, name)
     )

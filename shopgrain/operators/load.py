@@ -27,17 +27,14 @@ BYTES_PER_TASK = 256 * 1024 * 1024
 def with_sale_date(batch: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Add the day of sale: own purchase time, or that of the row's order.
 
-    A row whose order is unknown keeps a NULL day.  Orders are reduced to one
-    row per id first, so the join cannot multiply the batch; it shuffles both
-    sides on order_id, which a following dedup on (order_id, ...) reuses.
+    A row whose order is unknown keeps a NULL day.  The orders table has one
+    row per id.  Both sides are shuffled on order_id, which a following dedup
+    on (order_id, ...) builds on; a busy order id can be split.
     """
     purchase = F.to_date("order_purchase_timestamp").alias("sale_date")
     if orders is None:
         return batch.withColumn("sale_date", purchase)
-    days = orders.groupBy("order_id").agg(
-        F.max("order_purchase_timestamp").alias("order_purchase_timestamp")
-    )
-    return batch.join(days.select("order_id", purchase), "order_id", "left")
+    return batch.join(orders.select("order_id", purchase), "order_id", "left")
 
 
 def fact_batch(

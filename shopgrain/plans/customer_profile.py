@@ -9,11 +9,8 @@ from pyspark.sql import functions as F
 
 from shopgrain.functions import labels
 from shopgrain.functions.numbers import amount_avg, amount_sum, or_zero, round2
-from shopgrain.operators.rollups import (
-    order_facts,
-    payment_totals,
-    postal_centres,
-)
+from shopgrain.operators.joins import with_coordinates
+from shopgrain.operators.rollups import order_facts, payment_totals
 
 
 def customer_totals(orders: DataFrame, payments: DataFrame) -> DataFrame:
@@ -41,18 +38,14 @@ def customer_totals(orders: DataFrame, payments: DataFrame) -> DataFrame:
 def customer_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     tenure = F.datediff("last_purchase_date", "first_purchase_date")
     value = or_zero(F.col("lifetime_value"), "double")
-    centres = postal_centres(tables["geolocations"]).withColumnRenamed(
-        "geo_postal_code", "customer_postal_code"
-    )
     amounts = ["avg_order_value", "max_order_value", "min_order_value"]
+    profiles = tables["customers"].join(
+        customer_totals(tables["orders"], tables["order_payments"]),
+        "customer_trx_id",
+        "left",
+    )
     return (
-        tables["customers"]
-        .join(
-            customer_totals(tables["orders"], tables["order_payments"]),
-            "customer_trx_id",
-            "left",
-        )
-        .join(centres, "customer_postal_code", "left")
+        with_coordinates(profiles, "customer_postal_code", tables["geolocations"])
         .select(
             "customer_trx_id",
             "subscriber_id",

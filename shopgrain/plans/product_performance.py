@@ -15,7 +15,7 @@ from shopgrain.functions.numbers import (
     percent,
     round2,
 )
-from shopgrain.operators.rollups import order_facts, review_totals
+from shopgrain.operators.joins import order_context
 
 REVIEW_COUNTS = [
     "total_reviews",
@@ -31,7 +31,8 @@ def product_totals(
     """Sales per product at item grain.
 
     Status counts and review figures weigh an order once per item of it, the
-    order count does not.
+    order count does not.  Items move once, to a join that can split a busy
+    order id, and are combined per product before they move again.
     """
     price, freight = F.col("price"), F.col("freight_value")
     return (
@@ -39,8 +40,7 @@ def product_totals(
             "product_id", "order_id", "order_item_id", "seller_id",
             "price", "freight_value",
         )
-        .join(order_facts(orders), "order_id", "left")
-        .join(review_totals(reviews), "order_id", "left")
+        .join(order_context(orders, reviews), "order_id", "left")
         .groupBy("product_id")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopgrain.functions import dates, labels
+from shopgrain.operators.joins import own_shuffle
 from shopgrain.operators.rollups import order_facts, payment_totals
 
 
 def review_sentiment(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Reviews meet a ready order side: both joins share its partitioning."""
+    """Orders and payments are joined first, then each review once to both."""
     paid_orders = order_facts(
         tables["orders"], "customer_trx_id", "order_status", "sale_date"
     ).join(
@@ -24,7 +25,8 @@ def review_sentiment(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
     reviews = tables["order_reviews"].drop("sale_date")
     score, delay = F.col("review_score"), F.col("delivery_delay_days")
-    return reviews.join(paid_orders, "order_id", "left").select(
+    context = own_shuffle(paid_orders, "order_id")
+    return reviews.join(context, "order_id", "left").select(
         "review_id",
         "order_id",
         "review_score",

@@ -15,9 +15,9 @@ from shopgrain.functions.numbers import (
     percent,
     round2,
 )
+from shopgrain.operators.joins import with_coordinates
 from shopgrain.operators.rollups import (
     order_facts,
-    postal_centres,
     review_totals,
     seller_order_totals,
 )
@@ -53,17 +53,13 @@ def seller_totals(
 
 
 def seller_performance(tables: Mapping[str, DataFrame]) -> DataFrame:
-    centres = postal_centres(tables["geolocations"]).withColumnRenamed(
-        "geo_postal_code", "seller_postal_code"
-    )
     totals = seller_totals(
         tables["order_items"], tables["orders"], tables["order_reviews"]
     )
     revenue = or_zero(F.col("total_revenue"), "double")
+    scored = tables["sellers"].join(totals, "seller_id", "left")
     return (
-        tables["sellers"]
-        .join(totals, "seller_id", "left")
-        .join(centres, "seller_postal_code", "left")
+        with_coordinates(scored, "seller_postal_code", tables["geolocations"])
         .select(
             "seller_id",
             "seller_name",

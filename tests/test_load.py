@@ -57,7 +57,7 @@ def test_sale_date_is_the_utc_day(make):
 
 
 def test_sale_date_comes_from_the_order(make):
-    orders = make("orders", _order("a", D1), _order("b", D2), _order("b", D2))
+    orders = make("orders", _order("a", D1), _order("b", D2))
     items = make(
         "order_items",
         *[{"order_id": k, "order_item_id": 1, "etl_timestamp": T1} for k in ("a", "b", "lost", None)],
