@@ -27,7 +27,8 @@ def raw_cte(table: str) -> str:
     t = TABLES[table]
     row = "0"
     for k in t.key:
-        row = f"({row} * 7 + CAST(regexp_replace(CAST({k} AS VARCHAR), '[^0-9]', '', 'g') AS BIGINT))"
+        text = f"CAST({k} AS VARCHAR)"
+        row = f"({row} * 3 + ascii(right({text}, 2)) + ascii(right({text}, 1)))"
     cells = []
     for i, c in enumerate(t.source_columns):
         v = f"CAST({c} AS VARCHAR)"

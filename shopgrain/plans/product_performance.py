@@ -32,20 +32,24 @@ def product_totals(
 
     Status counts and review figures weigh an order once per item of it, the
     order count does not.  Items move once, to a join that can split a busy
-    order id, and are combined per product before they move again.
+    order id; the (product, order) pairs are formed where that join left them
+    and combined per product before they move again.  Sellers need no order and
+    are counted apart.
     """
     price, freight = F.col("price"), F.col("freight_value")
-    return (
-        items.select(
-            "product_id", "order_id", "order_item_id", "seller_id",
-            "price", "freight_value",
+    sold = items.where(F.col("product_id").isNotNull())
+    sellers = sold.groupBy("product_id").agg(
+        F.count_distinct("seller_id").alias("unique_sellers")
+    )
+    sales = (
+        sold.select(
+            "product_id", "order_id", "order_item_id", "price", "freight_value"
         )
         .join(order_context(orders, reviews), "order_id", "left")
         .groupBy("product_id")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
             F.count("order_item_id").alias("total_units_sold"),
-            F.count_distinct("seller_id").alias("unique_sellers"),
             round2(amount_sum(price)).alias("total_revenue"),
             round2(amount_avg(price)).alias("avg_price"),
             round2(F.min(price)).alias("min_price"),
@@ -58,6 +62,7 @@ def product_totals(
             F.count_if("is_canceled").alias("canceled_orders"),
         )
     )
+    return sales.join(sellers, "product_id", "left")
 
 
 def product_performance(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -244,14 +244,14 @@ class SalesTables(dict):
 def as_raw_text(df: DataFrame, name: str) -> DataFrame:
     """A table as its delimited file might hold it: all text, with noise.
 
-    Which cell gets which noise follows from the digits of the key and the
+    Which cell gets which noise follows from the end of the key and the
     position of the column.  Key columns only get blanks around them.
     """
     table = TABLES[name]
-    row = F.lit(0).cast("long")
+    row = F.lit(0)
     for k in table.key:
-        digits = F.regexp_replace(_text(F.col(k)), "[^0-9]", "")
-        row = row * 7 + digits.try_cast("long")
+        end = F.substring(_text(F.col(k)), -2, 2)
+        row = row * 3 + F.ascii(end) + F.ascii(F.substring(end, -1, 1))
     cells = []
     for i, c in enumerate(table.source_columns):
         value, turn = _text(F.col(c)), (row + i) % 11
