@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.operators.load import _has_data
+from shopgrain import files
 from shopgrain.schemas import LOAD_AUDIT_SCHEMA, TABLES
 
 MAX_AGE_HOURS = 25
@@ -19,7 +19,7 @@ class StaleSource(RuntimeError):
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    if not _has_data(spark, path):
+    if not files.children(spark, path):
         return spark.createDataFrame([], LOAD_AUDIT_SCHEMA)
     stored = spark.read.schema(LOAD_AUDIT_SCHEMA).parquet(path)
     return stored.select(LOAD_AUDIT_SCHEMA.names)
@@ -27,7 +27,7 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
 
 def ensure_audit(spark: SparkSession, path: str) -> None:
     """Create the empty audit table where there is none."""
-    if not _has_data(spark, path):
+    if not files.children(spark, path):
         _append(spark.createDataFrame([], LOAD_AUDIT_SCHEMA), path)
 
 

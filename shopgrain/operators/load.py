@@ -15,9 +15,10 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopgrain import files
+from shopgrain.files import Scratch
 from shopgrain.operators.dedup import keep_latest
 from shopgrain.schemas import TABLES, Table
-from shopgrain.session import written
 
 BYTES_PER_TASK = 256 * 1024 * 1024
 
@@ -87,26 +88,6 @@ def replace_day(existing: DataFrame, batch: DataFrame, day: dt.date) -> DataFram
 # ------------------------------------------------------------------- Parquet
 
 
-def _hadoop(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _hadoop(spark, path)
-    return fs.exists(jpath)
-
-
-def _has_data(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _hadoop(spark, path)
-    return fs.exists(jpath) and len(fs.listStatus(jpath)) > 0
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, jpath = _hadoop(spark, path)
-    fs.delete(jpath, True)
-
-
 def create_table_sql(table: Table, name: str, location: str) -> str:
     """DDL for the catalog; does nothing where the table is known."""
     columns = ", ".join(
@@ -131,7 +112,7 @@ def drop_staging(spark: SparkSession, name: str) -> None:
 
 def read_fact(spark: SparkSession, table: Table, path: str) -> DataFrame:
     """Current rows; a filter on sale_date opens only those directories."""
-    if not _has_data(spark, path):
+    if not files.children(spark, path):
         return spark.createDataFrame([], table.schema)
     stored = spark.read.schema(table.schema).parquet(path)
     return stored.select(table.schema.names)
@@ -148,26 +129,21 @@ def _on_days(days: set[dt.date | None]) -> Column:
     return cond | F.col("sale_date").isNull() if None in days else cond
 
 
-def _tasks(df: DataFrame, days: int) -> int:
-    """Write tasks for a written input: by size, and by days if these are many."""
-    spark = df.sparkSession
-    size = 0
-    for file in df.inputFiles()[:1]:
-        fs, folder = _hadoop(spark, file.rsplit("/", 1)[0])
-        size = fs.getContentSummary(folder).getLength()
+def _tasks(spark: SparkSession, size: int, days: int) -> int:
+    """Write tasks: enough for the bytes, more where many days are small."""
     by_days = min(days, spark.sparkContext.defaultParallelism)
     return max(1, by_days, math.ceil(size / BYTES_PER_TASK))
 
 
-def _write_days(df: DataFrame, path: str, keys: list[str], days: int) -> None:
-    """Write by day in even tasks.
+def _write_days(df: DataFrame, path: str, keys: list[str], tasks: int) -> None:
+    """Write by day in even tasks, replacing the days that `df` holds.
 
     Ranges over (day, key) keep a day in few files and still cut one that
     holds a large share of the rows; files are sorted by key for skipping.
     """
     order = ["sale_date", *keys]
     (
-        df.repartitionByRange(_tasks(df, days), *order)
+        df.repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
         .write.partitionBy("sale_date")
         .option("partitionOverwriteMode", "dynamic")
@@ -189,25 +165,28 @@ def load_fact(spark: SparkSession, table: Table, path: str, batch: DataFrame) ->
     days are neither read nor written.
     """
     keys = list(table.key)
-    batch = written(batch, f"{table.name}-batch")
-    new_days = _days_of(batch)
-    if not _has_data(spark, path):
-        _write_days(batch, path, keys, len(new_days))
-        return
-    existing = read_fact(spark, table, path)
-    incoming = batch.select(keys)
-    seen_before = existing.select(*keys, "sale_date").join(
-        incoming, _same_key(existing, incoming, keys, True), "left_semi"
-    )
-    touched = new_days | _days_of(seen_before)
-    merged = written(
-        upsert(existing.where(_on_days(touched)), batch, keys, True),
-        f"{table.name}-days",
-    )
-    filled = _days_of(merged)
-    _write_days(merged, path, keys, len(filled))
-    for day in touched - filled:
-        _remove(spark, _day_dir(path, day))
+    with Scratch(spark) as scratch:
+        batch, size = scratch.written(batch, f"{table.name}-batch")
+        new_days = _days_of(batch)
+        if not new_days:
+            return
+        if not files.children(spark, path):
+            _write_days(batch, path, keys, _tasks(spark, size, len(new_days)))
+            return
+        existing = read_fact(spark, table, path)
+        incoming = batch.select(keys)
+        seen_before = existing.select(*keys, "sale_date").join(
+            incoming, _same_key(existing, incoming, keys, True), "left_semi"
+        )
+        touched = new_days | _days_of(seen_before)
+        merged, size = scratch.written(
+            upsert(existing.where(_on_days(touched)), batch, keys, True),
+            f"{table.name}-days",
+        )
+        filled = _days_of(merged)
+        _write_days(merged, path, keys, _tasks(spark, size, len(filled)))
+        for day in touched - filled:
+            files.remove(spark, _day_dir(path, day))
 
 
 def load_fact_day(
@@ -218,21 +197,21 @@ def load_fact_day(
     This is the plain delete-and-insert load: a repeated run doubles the other
     days, which `load_fact` avoids.
     """
-    batch = written(batch, f"{table.name}-batch")
-    others = read_fact(spark, table, path).where(_on_days(_days_of(batch)))
-    rows = written(replace_day(others, batch, day), f"{table.name}-days")
-    _remove(spark, _day_dir(path, day))
-    _write_days(rows, path, list(table.key), len(_days_of(rows)))
+    with Scratch(spark) as scratch:
+        batch, _ = scratch.written(batch, f"{table.name}-batch")
+        others = read_fact(spark, table, path).where(_on_days(_days_of(batch)))
+        rows, size = scratch.written(
+            replace_day(others, batch, day), f"{table.name}-days"
+        )
+        days = _days_of(rows)
+        files.remove(spark, _day_dir(path, day))
+        _write_days(rows, path, list(table.key), _tasks(spark, size, len(days)))
 
 
 def _snapshots(spark: SparkSession, path: str) -> list[str]:
     """Complete snapshots below `path`, oldest first."""
-    fs, jpath = _hadoop(spark, path)
-    if not fs.exists(jpath):
-        return []
-    found = [s.getPath() for s in fs.listStatus(jpath)]
-    names = sorted(p.getName() for p in found if p.getName().startswith("snapshot="))
-    return [n for n in names if path_exists(spark, f"{path}/{n}/_SUCCESS")]
+    names = [n for n in files.children(spark, path) if n.startswith("snapshot=")]
+    return [n for n in names if files.exists(spark, f"{path}/{n}/_SUCCESS")]
 
 
 def read_dimension(spark: SparkSession, table: Table, path: str) -> DataFrame:
@@ -250,6 +229,8 @@ def load_dimension(
     Rows are laid out by the cluster columns with the key behind them, so one
     frequent value still spreads over many files with tight min/max ranges.
     """
+    if batch.isEmpty():
+        return
     done = _snapshots(spark, path)
     number = int(done[-1].split("=")[1]) + 1 if done else 1
     rows = upsert(read_dimension(spark, table, path), batch, list(table.key))
@@ -262,7 +243,7 @@ def load_dimension(
     )
     for old in [*done, ""][: -keep]:
         if old:
-            _remove(spark, f"{path}/{old}")
+            files.remove(spark, f"{path}/{old}")
 
 
 def read_table(spark: SparkSession, name: str, warehouse: str) -> DataFrame:

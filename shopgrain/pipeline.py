@@ -8,6 +8,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from shopgrain import files
 from shopgrain.operators import clean, conform, load
 from shopgrain.plans import register_views
 from shopgrain.schemas import DIMENSIONS, FACTS, TABLES
@@ -55,15 +56,26 @@ def clean_day(
     One scan of the input per table: the row count is observed by the write.
     An input without rows is reported and leaves an empty directory.
     """
-    counts = {}
-    for name, source in sources.items():
-        seen = Observation(f"read {name}")
-        df = clean_table(spark, name, source, at, seen)
-        write_day(df, day_path(zone, name, day))
-        counts[name] = seen.get["rows"]
-        if not counts[name]:
-            log.warning("%s: no rows in %s", name, source)
-    return counts
+    return {
+        name: clean_to(spark, name, source, day_path(zone, name, day), at)
+        for name, source in sources.items()
+    }
+
+
+def clean_to(
+    spark: SparkSession,
+    name: str,
+    source: str,
+    output: str,
+    at: dt.datetime | None = None,
+) -> int:
+    """Clean one table's files into a directory; returns the rows read."""
+    seen = Observation(f"read {name}")
+    write_day(clean_table(spark, name, source, at, seen), output)
+    rows = seen.get["rows"]
+    if not rows:
+        log.warning("%s: no rows in %s", name, source)
+    return rows
 
 
 def load_day(spark: SparkSession, zone: str, warehouse: str, day: str) -> None:
@@ -74,7 +86,7 @@ def load_day(spark: SparkSession, zone: str, warehouse: str, day: str) -> None:
     """
     orders = None
     for name in [*FACTS, *DIMENSIONS]:
-        if not load.path_exists(spark, day_path(zone, name, day)):
+        if not files.exists(spark, day_path(zone, name, day)):
             log.warning("%s: nothing staged for %s", name, day)
             continue
         table = TABLES[name]

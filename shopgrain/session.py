@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings that change results or the handling of hot keys.  The width of a
 # shuffle and all memory sizes belong to the cluster and are left alone.
@@ -63,15 +62,3 @@ def shared_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(current)
     return current
 
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing else writes there."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Cut lineage by writing `df` once and reading it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

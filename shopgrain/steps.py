@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopgrain.files import scratch_path
 from shopgrain.functions import labels
 from shopgrain.operators import clean, conform, control, load, rollups
 from shopgrain.operators.dedup import keep_latest
@@ -19,7 +20,7 @@ from shopgrain.pipeline import clean_table
 from shopgrain.plans import daily_sales_performance, register_views
 from shopgrain.plans.order_summary import order_columns
 from shopgrain.schemas import LOAD_AUDIT_SCHEMA, TABLES
-from shopgrain.session import configure, scratch_path
+from shopgrain.session import configure
 from shopgrain.sources.delimited import read_delimited
 from shopgrain.sources.parquet import day_path, read_staging, write_day
 from shopgrain.sources.testdata import STAMP, SalesTables, as_raw_text

@@ -2,9 +2,10 @@
 
 import datetime as dt
 
-from shopgrain import pipeline
+from shopgrain import cli, files, pipeline
 from shopgrain.operators import load
 from shopgrain.schemas import TABLES
+from shopgrain.session import shared_dir
 
 AT = dt.datetime(2024, 1, 1)
 
@@ -107,3 +108,27 @@ def test_cleaning_reads_the_input_once(spark, tmp_path):
     df = pipeline.clean_table(spark, "orders", sources["orders"], AT)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan csv") == 1 and "Exchange" not in plan
+
+
+def test_jobs_from_the_command_line(spark, tmp_path, capsys):
+    """The session of the tests is reused by each command."""
+    sources = _sources(tmp_path, FILES)
+    zone, house, audit = (str(tmp_path / n) for n in ("z", "house", "audit"))
+    for name in ("orders", "sellers"):
+        cli.main(["clean", name, sources[name], f"{zone}/{name}/partition=2024-01-01"])
+    cli.main(["load", zone, house, "2024-01-01"])
+    cli.main(["record", audit, "staging", "run-1", "2024-01-01"])
+    cli.main(["freshness", audit])
+    assert capsys.readouterr().out.strip().endswith("fresh")
+    assert load.read_table(spark, "orders", house).count() == 2
+    assert load.read_table(spark, "sellers", house).count() == 1
+
+
+def test_loads_leave_no_scratch_behind(spark, make, tmp_path):
+    before = files.children(spark, shared_dir(spark))
+    batch = make("orders", {"order_id": "a", "sale_date": dt.date(2020, 1, 1)})
+    for _ in range(2):
+        load.load_fact(spark, TABLES["orders"], str(tmp_path / "t"), batch)
+    load.load_fact(spark, TABLES["orders"], str(tmp_path / "t"), batch.limit(0))
+    assert files.children(spark, shared_dir(spark)) == before
+    assert load.read_fact(spark, TABLES["orders"], str(tmp_path / "t")).count() == 1
