@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopgrain.llm import bpe, near_duplicates
+from shopgrain.llm import bpe, line_dedup, near_duplicates, toxicity
 from shopgrain.session import configure
 
 
@@ -16,6 +16,8 @@ def _over(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 QUERIES = {
     "op4_near_dedup": _over(near_duplicates.near_dedup_query),
+    "op5_line_dedup": _over(line_dedup.line_dedup_query),
+    "op6_toxicity": _over(toxicity.toxicity_query),
     "op10_byte_bpe": _over(bpe.bpe_query),
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_line_dedup": line_dedup.LINE_DEDUP_SQL}
