@@ -8,15 +8,29 @@ import numpy as np
 import pyarrow as pa
 
 
-def bytes_of(column: pa.Array) -> Iterator[np.ndarray]:
-    """The UTF-8 bytes of each text; a null counts as empty."""
-    column = column.cast(pa.large_string())
-    missing = column.is_null().to_numpy(zero_copy_only=False)
+_TOGETHER = 1 << 17
+
+
+def texts_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """UTF-8 bytes of a few texts at a time and the bounds of each; a null counts as empty."""
+    column = column.cast(pa.large_string()).fill_null("")
     _, at, data = column.buffers()
+    if not len(column):
+        return
     at = np.frombuffer(at, np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
-    for k in range(len(column)):
-        yield data[0:0] if missing[k] else data[at[k] : at[k + 1]]
+    k = 0
+    while k < len(column):
+        end = max(int(np.searchsorted(at, at[k] + _TOGETHER, "right")) - 1, k + 1)
+        yield data[at[k] : at[end]], at[k : end + 1] - at[k]
+        k = end
+
+
+def bytes_of(column: pa.Array) -> Iterator[np.ndarray]:
+    """UTF-8 bytes of each text."""
+    for data, bounds in texts_of(column):
+        for k in range(len(bounds) - 1):
+            yield data[bounds[k] : bounds[k + 1]]
 
 
 def longs(values) -> pa.Array:

@@ -9,24 +9,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.llm.arrow import bytes_of, lists, longs
+from shopgrain.llm.arrow import lists, longs
 from shopgrain.llm.groups import components, similar
 from shopgrain.llm.setsketch import BANDS, band_keys, sketch
-from shopgrain.llm.words import set_id, shingle_hashes, span_hashes, word_spans
+from shopgrain.llm.words import set_id, shingle_hashes, words_of
 from shopgrain.llm.work import Work
 
 PERCENT = 85
 
 
-def shingles_of(data: np.ndarray) -> np.ndarray:
-    return shingle_hashes(span_hashes(data, *word_spans(data)))
-
-
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, first, second, bands, registers = [], [], [], [], []
-        for data in bytes_of(batch["text"]):
-            shingles = shingles_of(data)
+        for words in words_of(batch["text"]):
+            shingles = shingle_hashes(words)
             regs = sketch(shingles)
             one, two = set_id(shingles)
             n.append(len(shingles))
@@ -46,7 +42,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         wanted = zip(batch["s1"].to_pylist(), batch["s2"].to_pylist(), strict=True)
-        sets = [shingles_of(data) for data in bytes_of(batch["text"])]
+        sets = [shingle_hashes(words) for words in words_of(batch["text"])]
         right = [set_id(x) == w for x, w in zip(sets, wanted, strict=True)]
         kept = [x.view(np.int64) for x, r in zip(sets, right, strict=True) if r]
         yield pa.RecordBatch.from_arrays(

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.llm.arrow import bytes_of, longs
-from shopgrain.llm.words import mix, span_hashes
+from shopgrain.llm.arrow import bytes_of, longs, texts_of
+from shopgrain.llm.words import mix, span_hashes, spans
 
 # Identity terms by kind; a term is swapped for the next of its kind.
 IDENTITY: tuple[tuple[str, ...], ...] = (
@@ -50,17 +50,16 @@ _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 _SALT = [np.uint64(0x9E3779B97F4A7C15 * (k + 1) & (2**64 - 1)) for k in range(4)]
 
 
-def features(data: np.ndarray) -> np.ndarray:
-    """Numbers of all words and beginnings of words, with repetitions."""
-    edge = np.zeros(len(data) + 2, np.int8)
-    edge[1:-1] = _LETTER[data]
-    step = np.diff(edge)
-    starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    out = [span_hashes(data, starts, ends) ^ _SALT[0]]
-    for k, size in enumerate(_BEGINNINGS, 1):
-        longer = ends - starts > size
-        out.append(span_hashes(data, starts[longer], starts[longer] + size) ^ _SALT[k])
-    return mix(np.concatenate(out))
+def features_of(column: pa.Array) -> Iterator[np.ndarray]:
+    """Numbers of all words and beginnings of words of each text, with repetitions."""
+    for data, bounds in texts_of(column):
+        starts, ends = spans(data, bounds, ~_LETTER)
+        cut = np.searchsorted(starts, bounds).tolist()
+        kinds = [mix(span_hashes(data, starts, ends) ^ _SALT[0])]
+        for k, size in enumerate(_BEGINNINGS, 1):
+            kinds.append(mix(span_hashes(data, starts, np.minimum(starts + size, ends)) ^ _SALT[k]))
+        for k in range(len(cut) - 1):
+            yield np.concatenate([x[cut[k] : cut[k + 1]] for x in kinds])
 
 
 @dataclass(frozen=True)
@@ -84,9 +83,9 @@ class Model:
         open_[self.known >> np.uint64(48)] = True
         return open_
 
-    def scores(self, texts: Iterator[np.ndarray]) -> list[float]:
+    def scores(self, texts: pa.Array) -> list[float]:
         gate = self.gate()
-        sums = [self.bias + float(self.weight[self.places(features(t), gate)].sum()) for t in texts]
+        sums = [self.bias + float(self.weight[self.places(f, gate)].sum()) for f in features_of(texts)]
         return [float(1 / (1 + np.exp(-min(max(s, -500.0), 500.0)))) for s in sums]
 
 
@@ -106,7 +105,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         toxic = batch["toxic"].to_pylist()
         for label in (0, 1):
-            sets = [np.unique(features(d)) for d, t in zip(bytes_of(batch["text"]), toxic, strict=True) if t == label]
+            sets = [np.unique(f) for f, t in zip(features_of(batch["text"]), toxic, strict=True) if t == label]
             if sets:
                 known, rows = np.unique(np.concatenate(sets), return_counts=True)
                 n = longs(rows)
@@ -122,14 +121,11 @@ def _encoded(known: np.ndarray):
         gate = model.gate()
         pattern, _ = _swapper()
         for batch in batches:
-            own, other = [], []
-            for data in bytes_of(batch["text"]):
-                text = data.tobytes().decode()
-                own.append(model.places(features(data), gate).tolist())
-                swap = swapped(text) if pattern.search(text) else None
-                other.append(
-                    None if swap is None else model.places(features(np.frombuffer(swap.encode(), np.uint8)), gate).tolist()
-                )
+            own = [model.places(f, gate).tolist() for f in features_of(batch["text"])]
+            texts = [data.tobytes().decode() for data in bytes_of(batch["text"])]
+            swaps = pa.array([swapped(t) if pattern.search(t) else None for t in texts], pa.string())
+            found = [model.places(f, gate).tolist() for f in features_of(swaps)]
+            other = [f if s else None for f, s in zip(found, swaps.is_valid().to_pylist(), strict=True)]
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch["toxic"], pa.array(own, kind), pa.array(other, kind)], ["toxic", "own", "other"]
@@ -213,7 +209,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = pa.array(model.scores(bytes_of(batch["text"])), pa.float64())
+            scores = pa.array(model.scores(batch["text"]), pa.float64())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], scores], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -225,7 +221,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([s < threshold for s in model.scores(bytes_of(batch["text"]))], pa.bool_()))
+            yield batch.filter(pa.array([s < threshold for s in model.scores(batch["text"])], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -7,7 +7,12 @@ from one running sum over the text, and mixed afterwards.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+
+from shopgrain.llm.arrow import texts_of
 
 _RNG = np.random.default_rng(0x5EED)
 _BASE = 0x9E3779B97F4A7C15
@@ -40,13 +45,20 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of each word in an array of bytes."""
-    edge = np.empty(len(data) + 2, np.int8)
-    edge[0] = edge[-1] = 0
-    edge[1:-1] = ~_SPACE[data]
-    step = np.diff(edge)
-    return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+def spans(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each run of bytes that are not `outside`.
+
+    `offsets` are the bounds of the texts in `data`; no run crosses them.
+    """
+    inside = ~outside[data]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    at = offsets[offsets < len(data)]
+    first[at] = inside[at]
+    at = offsets[offsets > 0] - 1
+    last[at] = inside[at]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -59,7 +71,17 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 def word_hashes(text: str | None) -> np.ndarray:
     data = np.frombuffer((text or "").encode(), np.uint8)
-    return span_hashes(data, *word_spans(data))
+    return span_hashes(data, *spans(data, np.array([0, len(data)]), _SPACE))
+
+
+def words_of(column: pa.Array) -> Iterator[np.ndarray]:
+    """The word hashes of each text, in order."""
+    for data, offsets in texts_of(column):
+        starts, ends = spans(data, offsets, _SPACE)
+        hashes = span_hashes(data, starts, ends)
+        cut = np.searchsorted(starts, offsets).tolist()
+        for k in range(len(cut) - 1):
+            yield hashes[cut[k] : cut[k + 1]]
 
 
 def shingle_hashes(words: np.ndarray) -> np.ndarray:
