@@ -55,7 +55,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
     return bpe.decode(ids, ranks).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.decode("bytes", F.lit("UTF-8")).alias("text")
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.decode("bytes", "UTF-8").alias("text")
     )
 
 

@@ -95,22 +95,30 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def similar(work: Work, items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def similar(
+    work: Work,
+    bands: DataFrame,
+    sets_of: Callable[[DataFrame], DataFrame],
+    percent: int,
+    sketches: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """(a, b) links that connect all ids whose sets share `percent` or more.
 
-    `items` is a stored table (id, n, bands, sketch) with unique ids; `sets_of`
-    gives (id, shingles) for a table of ids.  First every id of a band's bucket
-    is held against the bucket's smallest id, which is linear however large a
-    bucket is.  Then, only in buckets whose ids are still in several groups,
-    all pairs between different groups are held against each other.  No pair
-    that shares a bucket and is not connected yet goes untested.
+    `bands` has (id, n, key): the keys of each id's bands and its set size, or
+    0 where that is not known; `sets_of` gives (id, shingles) for a table of
+    ids; `sketches` (id, n, sketch) lets unlikely pairs be left out.  First every
+    id of a bucket is held against the bucket's smallest id, which is linear
+    however large a bucket is.  Then, only in buckets whose ids are still in
+    several groups, all pairs between different groups are held against each
+    other.  No pair that shares a bucket and is not connected yet goes untested.
+
+    Also returns the ids that share any bucket.
     """
-    bands = items.select("id", "n", F.explode("bands").alias("key"))
     hubs = work.put(
-        bands.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("c")).where("c > 1").select("key", "hub"),
+        bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last").select("key", "hub"),
         "hubs",
     )
-    crowd = work.put(bands.join(hubs, "key"), "crowd")
+    crowd = work.put(bands.join(_sized(work, hubs), "key").distinct(), "crowd")
     ids = work.put(crowd.select("id").distinct(), "ids")
     sets = work.put(sets_of(ids), "sets")
     stars = work.put(crowd.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
@@ -124,7 +132,7 @@ def similar(work: Work, items: DataFrame, sets_of: Callable[[DataFrame], DataFra
         placed.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("key"),
         "mixed",
     )
-    rest = work.put(placed.where("id <> hub").join(mixed, "key"), "rest")
+    rest = work.put(placed.where("id <> hub").join(_sized(work, mixed), "key"), "rest")
     left, right = (
         rest.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "group"))) for s in ("a", "b")
     )
@@ -134,12 +142,18 @@ def similar(work: Work, items: DataFrame, sets_of: Callable[[DataFrame], DataFra
         & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     )
     pairs = left.join(right, "key").where(near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-    sketch_a, sketch_b = (
-        items.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
-        for s in ("a", "b")
-    )
-    likely = pairs.join(sketch_a, "a").join(sketch_b, "b").mapInArrow(_likely(percent / 100 - SLACK), "a long, b long")
-    more = work.put(verified(likely, sets, percent), "links")
+    if sketches is not None:
+        sketch_a, sketch_b = (
+            sketches.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
+            for s in ("a", "b")
+        )
+        pairs = pairs.join(sketch_a, "a").join(sketch_b, "b").mapInArrow(_likely(percent / 100 - SLACK), "a long, b long")
+    more = work.put(verified(pairs, sets, percent), "links")
     out = work.put(links.union(more), "links")
-    work.drop(hubs, crowd, ids, sets, stars, links, group, placed, mixed, rest, more)
-    return out
+    work.drop(hubs, crowd, sets, stars, links, group, placed, mixed, rest, more)
+    return out, ids
+
+
+def _sized(work: Work, table: DataFrame) -> DataFrame:
+    """To be broadcast where its size on disk is within the bound."""
+    return F.broadcast(table) if work.small(table) else table

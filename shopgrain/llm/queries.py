@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopgrain.llm import bpe, decontamination, line_dedup, near_duplicates, toxicity
+from shopgrain.llm import bpe, decontamination, line_dedup, near_duplicates, passages, toxicity
 from shopgrain.session import configure
 
 
@@ -15,6 +15,7 @@ def _over(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 
 QUERIES = {
+    "op1_repeated_passages": _over(passages.passages_query),
     "op4_near_dedup": _over(near_duplicates.near_dedup_query),
     "op5_line_dedup": _over(line_dedup.line_dedup_query),
     "op6_toxicity": _over(toxicity.toxicity_query),

@@ -19,8 +19,8 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _VALUE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
 _VALUE[65:91] = _VALUE[97:123]
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 SHINGLE = 5
 _PLACE = _RNG.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -71,13 +71,13 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 def word_hashes(text: str | None) -> np.ndarray:
     data = np.frombuffer((text or "").encode(), np.uint8)
-    return span_hashes(data, *spans(data, np.array([0, len(data)]), _SPACE))
+    return span_hashes(data, *spans(data, np.array([0, len(data)]), SPACE))
 
 
 def words_of(column: pa.Array) -> Iterator[np.ndarray]:
     """The word hashes of each text, in order."""
     for data, offsets in texts_of(column):
-        starts, ends = spans(data, offsets, _SPACE)
+        starts, ends = spans(data, offsets, SPACE)
         hashes = span_hashes(data, starts, ends)
         cut = np.searchsorted(starts, offsets).tolist()
         for k in range(len(cut) - 1):
@@ -95,10 +95,16 @@ def shingle_hashes(words: np.ndarray) -> np.ndarray:
     if n < SHINGLE:
         whole = (words * _PLACE[:n]).sum(dtype=np.uint64) + np.uint64(n)
         return mix(np.array([whole], np.uint64))
-    run = words[: n - SHINGLE + 1] * _PLACE[0]
+    return np.unique(runs_of_words(words))
+
+
+def runs_of_words(words: np.ndarray) -> np.ndarray:
+    """One number for each run of five words, in order."""
+    n = max(len(words) - SHINGLE + 1, 0)
+    run = words[:n] * _PLACE[0]
     for k in range(1, SHINGLE):
-        run = run + words[k : n - SHINGLE + 1 + k] * _PLACE[k]
-    return np.unique(mix(run))
+        run = run + words[k : n + k] * _PLACE[k]
+    return mix(run)
 
 
 def set_id(shingles: np.ndarray) -> tuple[int, int]:
