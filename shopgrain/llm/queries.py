@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopgrain.llm import bpe, decontamination, line_dedup, near_duplicates, passages, toxicity
+from shopgrain.llm import bpe, decontamination, language_id, line_dedup, near_duplicates, passages, toxicity, url_filter
 from shopgrain.session import configure
 
 
@@ -19,7 +19,9 @@ QUERIES = {
     "op4_near_dedup": _over(near_duplicates.near_dedup_query),
     "op5_line_dedup": _over(line_dedup.line_dedup_query),
     "op6_toxicity": _over(toxicity.toxicity_query),
+    "op7_language_id": _over(language_id.language_query),
+    "op8_url_filter": _over(url_filter.url_query),
     "op9_decontamination": _over(decontamination.decontamination_query),
     "op10_byte_bpe": _over(bpe.bpe_query),
 }
-SQL: dict[str, str] = {"op5_line_dedup": line_dedup.LINE_DEDUP_SQL}
+SQL: dict[str, str] = {"op5_line_dedup": line_dedup.LINE_DEDUP_SQL, "op8_url_filter": url_filter.URL_SQL}
