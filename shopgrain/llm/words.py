@@ -69,6 +69,19 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * back[starts])
 
 
+def rolling(data: np.ndarray, reach: int) -> np.ndarray:
+    """For each byte, a number for it and up to `reach` - 1 bytes before it."""
+    n = len(data)
+    forth, back = _power(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_VALUE[data] * forth[:n], out=total[1:])
+    window = total[1:].copy()
+    if n > reach:
+        window[reach:] -= total[1 : n - reach + 1]
+        window[reach:] *= back[1 : n - reach + 1]
+    return mix(window)
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     data = np.frombuffer((text or "").encode(), np.uint8)
     return span_hashes(data, *spans(data, np.array([0, len(data)]), SPACE))
