@@ -12,22 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.llm import bpe, decontamination, line_dedup, near_duplicates, toxicity
-from shopgrain.llm.work import Work
-from shopgrain.session import configure
+from shopgrain.llm.work import Work, prepared
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    configure(spark)
+    prepared(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.drop_toxic(docs, toxicity.train(docs, labels, toxicity.learnable()))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; so do documents of which no line with text is left."""
-    configure(spark)
+    prepared(spark)
     left = line_dedup.dedup_lines(docs)
     emptied = (F.col("n_removed") > 0) & (F.btrim("text", F.lit(" \t\r\n")) == "")
     return left.where(~emptied | F.col("text").isNull()).select(
@@ -37,13 +36,13 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    configure(spark)
+    prepared(spark)
     return near_duplicates.drop_near_duplicates(docs, percent=80)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    configure(spark)
+    prepared(spark)
     return decontamination.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -51,7 +50,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and the text decoded from them."""
     import public_tokenizers
 
-    configure(spark)
+    prepared(spark)
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
     return bpe.decode(ids, ranks).select(

@@ -13,10 +13,12 @@ import base64
 import heapq
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,9 @@ from pyspark.sql import functions as F
 from shopgrain.llm.arrow import bytes_of, lists
 
 _SHORT = 48
+_FAR = 1 << 60
+BLOCK_BYTES = 8 << 20
+ROWS_AT_ONCE = 50_000
 # The code points with the Unicode property White_Space.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORDS = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+").findall
@@ -40,27 +45,11 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     whole = ranks.get(word)
     if whole is not None:
         return [whole]
-    if len(word) > _SHORT:
-        return _merge_long(word, ranks)
-    parts = [word[k : k + 1] for k in range(len(word))]
-    far = 1 << 60
-    near = [ranks.get(word[k : k + 2], far) for k in range(len(parts) - 1)]
-    while near:
-        low = min(near)
-        if low == far:
-            break
-        k = near.index(low)
-        parts[k : k + 2] = [parts[k] + parts[k + 1]]
-        del near[k]
-        if k < len(near):
-            near[k] = ranks.get(parts[k] + parts[k + 1], far)
-        if k:
-            near[k - 1] = ranks.get(parts[k - 1] + parts[k], far)
-    return [ranks[p] for p in parts]
+    return _merge_long(word, ranks)
 
 
 def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same with a heap, for pre-tokens of any length."""
+    """With a heap, for pre-tokens of any length."""
     n = len(word)
     after = list(range(1, n + 1))  # where the part that starts here ends
     before = list(range(-1, n - 1))
@@ -85,31 +74,110 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _number(batch: pa.RecordBatch) -> int:
-    """Name of a block: its texts decide, not where or when it is read."""
-    import xxhash
-
-    h = xxhash.xxh64()
-    for data in bytes_of(batch["text"]):
-        h.update(len(data).to_bytes(8, "little"))
-        h.update(data)
-    return h.intdigest() - (1 << 63)
-
-
-def _split(batch: pa.RecordBatch) -> Iterator[tuple[dict[str, int], list[str]]]:
-    """The block's distinct words so far, and the words of each document.
+class Merger:
+    """Many pre-tokens at once: those of one length are the rows of a matrix."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.single = np.array([ranks[bytes([k])] for k in range(256)], np.int64)
+        pairs = {}
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                left, right = ranks.get(token[:k]), ranks.get(token[k:])
+                if left is not None and right is not None:
+                    pairs[left << 32 | right] = rank
+        self._pair = np.array(sorted(pairs), np.int64)
+        self._rank = np.array([pairs[k] for k in self._pair.tolist()], np.int64)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        wanted = left << 32 | right
+        at = np.minimum(np.searchsorted(self._pair, wanted), len(self._pair) - 1)
+        return np.where(self._pair[at] == wanted, self._rank[at], _FAR)
+
+    def __call__(self, words: list[bytes]) -> dict[bytes, list[int]]:
+        """Ids of distinct pre-tokens."""
+        out: dict[bytes, list[int]] = {}
+        same: dict[int, list[bytes]] = {}
+        for word in words:
+            whole = self.ranks.get(word)
+            if whole is not None:
+                out[word] = [whole]
+            elif len(word) > _SHORT:
+                out[word] = _merge_long(word, self.ranks)
+            else:
+                same.setdefault(len(word), []).append(word)
+        for size, group in same.items():
+            rows = np.array(group, object)
+            ids = self.single[np.frombuffer(b"".join(group), np.uint8).reshape(-1, size)]
+            near = self._ranks(ids[:, :-1], ids[:, 1:])
+            while len(rows):
+                k = near.argmin(1) if near.shape[1] else np.zeros(len(rows), np.int64)
+                each = np.arange(len(rows))
+                low = near[each, k] if near.shape[1] else np.full(len(rows), _FAR)
+                done = low == _FAR
+                out.update(zip(rows[done], ids[done].tolist(), strict=True))
+                rows, ids, near, k, low = rows[~done], ids[~done], near[~done], k[~done], low[~done]
+                each = np.arange(len(rows))
+                ids[each, k] = low
+                keep = np.ones(ids.shape, bool)
+                keep[each, k + 1] = False
+                ids = ids[keep].reshape(len(rows), keep.shape[1] - 1)
+                near = near[keep[:, 1:]].reshape(len(rows), keep.shape[1] - 2)
+                left = k > 0
+                near[each[left], k[left] - 1] = self._ranks(ids[each[left], k[left] - 1], ids[each[left], k[left]])
+                right = k + 1 < ids.shape[1]
+                near[each[right], k[right]] = self._ranks(ids[each[right], k[right]], ids[each[right], k[right] + 1])
+        return out
+
+
+@dataclass
+class Block:
+    """Consecutive documents: their distinct words, and each one as places among them.
 
     A word is a run of anything but white space with one space before it, or
     white space on its own.  The patterns of byte-level vocabularies match
     inside these words only, so each distinct word is split and encoded once.
+    The texts name the block, not where or when it is read.
     """
-    index: dict[str, int] = {}
-    for data in bytes_of(batch["text"]):
-        words = _WORDS(data.tobytes().decode())
-        for word in dict.fromkeys(words):
-            if word not in index:
-                index[word] = len(index)
-        yield index, words
+
+    index: dict[str, int]
+    doc_ids: list
+    streams: list[bytes]
+    name: int
+
+    @staticmethod
+    def all(batches: Iterator[pa.RecordBatch], streams: bool) -> Iterator[Block]:
+        index: dict[str, int] = {}
+        doc_ids, packed, size, name = [], [], 0, xxhash.xxh64()
+        for batch in batches:
+            doc_ids.append(batch["doc_id"])
+            for data in bytes_of(batch["text"]):
+                words = _WORDS(data.tobytes().decode())
+                for word in dict.fromkeys(words):
+                    if word not in index:
+                        index[word] = len(index)
+                if streams:
+                    packed.append(_packed(np.fromiter(map(index.__getitem__, words), np.uint32, len(words))))
+                name.update(len(data).to_bytes(8, "little"))
+                name.update(data)
+                size += len(data)
+            if size >= BLOCK_BYTES:
+                yield Block(index, doc_ids, packed, name.intdigest() - (1 << 63))
+                index, doc_ids, packed, size, name = {}, [], [], 0, xxhash.xxh64()
+        if doc_ids:
+            yield Block(index, doc_ids, packed, name.intdigest() - (1 << 63))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= least:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
 
 
 def _packed(stream: np.ndarray) -> bytes:
@@ -134,41 +202,38 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     docs = docs.select("doc_id", "text")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            index: dict[str, int] = {}
-            for index, _ in _split(batch):
-                pass
+        for block in Block.all(batches, False):
+            n = len(block.index)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(index), _number(batch) if index else 0), pa.int64()),
-                    pa.array(np.arange(len(index)), pa.int32()),
-                    pa.array(list(index), pa.string()),
-                ],
+                [pa.array(np.full(n, block.name), pa.int64()), pa.array(np.arange(n), pa.int32()), pa.array(list(block.index), pa.string())],
                 ["block", "place", "word"],
             )
 
     def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.fromiter(map(i.__getitem__, w), np.uint32, len(w)) for i, w in _split(batch)]
+        for block in Block.all(batches, True):
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(found), _number(batch) if found else 0), pa.int64()),
-                    batch["doc_id"],
-                    pa.array([_packed(s) for s in found], pa.binary()),
+                    pa.array(np.full(len(block.streams), block.name), pa.int64()),
+                    pa.concat_arrays(block.doc_ids),
+                    pa.array(block.streams, pa.binary()),
                 ],
                 ["block", "doc_id", "stream"],
             )
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, last, ids, find = shared.value, None, [], regex.compile(pattern).findall
-        for batch in batches:
-            out = []
-            for word in batch["word"].to_pylist():
-                if word != last:  # sorted: equal words follow each other
-                    last, ids = word, np.array([i for w in find(word) for i in merge(w.encode(), table)], np.int32)
-                out.append(ids)
+        merger, find = Merger(shared.value), regex.compile(pattern).findall
+        last: tuple[str | None, np.ndarray] = (None, np.zeros(0, np.int32))
+        for rows in _gathered(batches, ROWS_AT_ONCE):
+            # Sorted: equal words follow each other, here and over the bounds.
+            spelled = {w: [x.encode() for x in find(w)] for w in dict.fromkeys(rows["word"].to_pylist()) if w != last[0]}
+            ids = merger(list(dict.fromkeys(x for parts in spelled.values() for x in parts)))
+            known = {w: np.array([i for x in parts for i in ids[x]], np.int32) for w, parts in spelled.items()}
+            if last[0] is not None:
+                known.setdefault(*last)
+            out = [known[w] for w in rows["word"].to_pylist()]
+            last = (rows["word"][-1].as_py(), out[-1])
             yield pa.RecordBatch.from_arrays(
-                [batch["block"], batch["place"], lists(out, pa.int32())], ["block", "place", "ids"]
+                [rows["block"].combine_chunks(), rows["place"].combine_chunks(), lists(out, pa.int32())], ["block", "place", "ids"]
             )
 
     def whole(_, left: pa.Table, right: pa.Table) -> pa.Table:

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shopgrain.llm import bpe, decontamination, fingerprints, language_id, line_dedup, near_duplicates, passages, toxicity, url_filter
-from shopgrain.session import configure
+from shopgrain.llm.work import prepared
 
 
 def _over(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: run(configure(spark), sf_dir)
+    return lambda spark, sf_dir: run(prepared(spark), sf_dir)
 
 
 QUERIES = {

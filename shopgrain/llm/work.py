@@ -8,11 +8,22 @@ import contextlib
 from pyspark.sql import DataFrame, SparkSession
 
 from shopgrain.files import remove, scratch_path, size
+from shopgrain.session import configure
 
 # A relation of at most this many bytes on disk may be sent to every executor.
 BROADCAST_BYTES = 32 << 20
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the package's settings and small batches for Python.
+
+    Texts may be long; a batch of rows must fit a worker several times over.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return configure(spark)
+
+
 class Work:
     """Tables that an operator writes and reads again.
 
@@ -53,7 +64,3 @@ class Work:
         for path in self._paths.values():
             with contextlib.suppress(Exception):  # the session may be gone
                 remove(self.spark, path)
-
-
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
