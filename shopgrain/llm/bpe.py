@@ -22,13 +22,13 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from shopgrain.llm.arrow import bytes_of, lists
+from shopgrain.llm.arrow import bytes_of, lists, longs
 
 _SHORT = 48
 _FAR = 1 << 60
 BLOCK_BYTES = 8 << 20
-ROWS_AT_ONCE = 50_000
 # The code points with the Unicode property White_Space.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORDS = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+").findall
@@ -168,31 +168,29 @@ class Block:
             yield Block(index, doc_ids, packed, name.intdigest() - (1 << 63))
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
-    held, n = [], 0
-    for batch in batches:
-        held.append(batch)
-        n += batch.num_rows
-        if n >= least:
-            yield pa.Table.from_batches(held)
-            held, n = [], 0
-    if n:
-        yield pa.Table.from_batches(held)
-
-
-def _packed(stream: np.ndarray) -> bytes:
-    planes = np.ascontiguousarray(stream.view(np.uint8).reshape(-1, 4).T)
+def _packed(numbers: np.ndarray) -> bytes:
+    planes = np.ascontiguousarray(numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T)
     return zstandard.compress(planes.tobytes(), 3)
 
 
-def _unpacked(data: bytes) -> list[int]:
+def _unpacked(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view(np.uint32).ravel().tolist()
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of the given runs, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """(doc_id, ids) of every row of (doc_id, text).
 
+    A block's distinct words are dealt out by hash in packed rows, one for each
+    part of the words.  The task that holds a part encodes each of its distinct
+    words once, and the packed ids go back to the block.
+
     A null or empty text gives no ids.  Rows are encoded one by one, so
     repeated ones and null ids stay as they are.  Other columns are ignored;
     an empty table gives an empty one.
@@ -200,65 +198,97 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(ranks)  # one entry per token of the vocabulary
     docs = docs.select("doc_id", "text")
+    wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * wide
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in Block.all(batches, False):
-            n = len(block.index)
+            names = [w.encode() for w in block.index]
+            part = np.fromiter(map(xxhash.xxh32_intdigest, names), np.uint32, len(names)) % np.uint32(parts)
+            order = np.argsort(part, kind="stable")
+            found, first = np.unique(part[order], return_index=True)
+            places, sizes, spelled = [], [], []
+            for at in np.split(order, first[1:]) if len(found) else []:
+                mine = [names[k] for k in at.tolist()]
+                places.append(_packed(np.diff(at, prepend=0)))
+                sizes.append(_packed(np.array(list(map(len, mine)))))
+                spelled.append(zstandard.compress(b"".join(mine), 3))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, block.name), pa.int64()), pa.array(np.arange(n), pa.int32()), pa.array(list(block.index), pa.string())],
-                ["block", "place", "word"],
-            )
+                [
+                    pa.array(found.astype(np.int32), pa.int32()), longs(np.full(len(found), block.name)),
+                    pa.array(places, pa.binary()), pa.array(sizes, pa.binary()), pa.array(spelled, pa.binary()),
+                ],
+                ["part", "block", "places", "sizes", "words"],
+            )
 
     def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in Block.all(batches, True):
+            n = len(block.streams)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(block.streams), block.name), pa.int64()),
-                    pa.concat_arrays(block.doc_ids),
-                    pa.array(block.streams, pa.binary()),
+                    longs(np.full(n, block.name)), pa.array([None] * n, pa.binary()), pa.array([None] * n, pa.binary()),
+                    pa.array(block.streams, pa.binary()), pa.concat_arrays(block.doc_ids),
                 ],
-                ["block", "doc_id", "stream"],
-            )
+                ["block", "places", "sizes", "data", "doc_id"],
+            )
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger, find = Merger(shared.value), regex.compile(pattern).findall
-        last: tuple[str | None, np.ndarray] = (None, np.zeros(0, np.int32))
-        for rows in _gathered(batches, ROWS_AT_ONCE):
-            # Sorted: equal words follow each other, here and over the bounds.
-            spelled = {w: [x.encode() for x in find(w)] for w in dict.fromkeys(rows["word"].to_pylist()) if w != last[0]}
-            ids = merger(list(dict.fromkeys(x for parts in spelled.values() for x in parts)))
-            known = {w: np.array([i for x in parts for i in ids[x]], np.int32) for w, parts in spelled.items()}
-            if last[0] is not None:
-                known.setdefault(*last)
-            out = [known[w] for w in rows["word"].to_pylist()]
-            last = (rows["word"][-1].as_py(), out[-1])
+        merger, find, known = Merger(shared.value), regex.compile(pattern).findall, {}
+        for batch in batches:
+            rows = []
+            for sizes, data in zip(batch["sizes"].to_pylist(), batch["words"].to_pylist(), strict=True):
+                ends = np.cumsum(_unpacked(sizes)).tolist()
+                data = zstandard.decompress(data)
+                rows.append([data[a:b] for a, b in zip([0, *ends], ends)])
+            new = {w: [x.encode() for x in find(w.decode())] for row in rows for w in row if w not in known}
+            ids = merger(list(dict.fromkeys(x for split in new.values() for x in split)))
+            for word, split in new.items():
+                known[word] = [i for x in split for i in ids[x]]
+            out = [[known[w] for w in row] for row in rows]
             yield pa.RecordBatch.from_arrays(
-                [rows["block"].combine_chunks(), rows["place"].combine_chunks(), lists(out, pa.int32())], ["block", "place", "ids"]
-            )
-
-    def whole(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        place = left["place"].to_numpy()
-        found = [None] * (int(place.max()) + 1 if len(place) else 0)
-        for k, ids in zip(place.tolist(), left["ids"].to_pylist(), strict=True):
-            found[k] = ids
-        out = []
-        for data in right["stream"].to_pylist():
-            ids: list[int] = []
-            for k in _unpacked(data):
-                ids += found[k]
-            out.append(np.array(ids, np.int32))
-        return pa.table([right["doc_id"], lists(out, pa.int32())], names=["doc_id", "ids"])
+                [
+                    batch["block"], batch["places"],
+                    pa.array([_packed(np.array(list(map(len, row)))) for row in out], pa.binary()),
+                    pa.array([_packed(np.array([i for ids in row for i in ids])) for row in out], pa.binary()),
+                    pa.nulls(len(out), kind_of_id),
+                ],
+                ["block", "places", "sizes", "data", "doc_id"],
+            )
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, table = None, [], None
+        for batch in batches:
+            doc_ids, out = [], []
+            cells = (batch[c].to_pylist() for c in ("block", "places", "sizes", "data"))
+            for k, (name, places, sizes, data) in enumerate(zip(*cells, strict=True)):
+                if name != block:
+                    block, held, table = name, [], None
+                if places is not None:
+                    held.append((np.cumsum(_unpacked(places)), _unpacked(sizes), _unpacked(data)))
+                    continue
+                if table is None:  # sorted: a block's words come before its documents
+                    at = np.concatenate([h[0] for h in held]) if held else np.zeros(0, np.int64)
+                    counts = np.concatenate([h[1] for h in held]) if held else at
+                    size, start = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+                    size[at], start[at] = counts, np.cumsum(counts) - counts
+                    table, held = (start, size, np.concatenate([h[2] for h in held]) if held else at), []
+                start, size, flat = table
+                stream = _unpacked(data)
+                doc_ids.append(k)
+                out.append(flat[_spread(start[stream], size[stream])].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(longs(doc_ids)), lists(out, pa.int32())], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    by_word = (
-        docs.mapInArrow(words, "block long, place int, word string")
-        .repartition("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(encoded, "block long, place int, ids array<int>")
-    )
-    by_block = docs.mapInArrow(streams, f"block long, doc_id {kind}, stream binary")
-    return by_word.groupBy("block").cogroup(by_block.groupBy("block")).applyInArrow(
-        whole, f"doc_id {kind}, ids array<int>"
+    kind_of_id = to_arrow_type(docs.schema["doc_id"].dataType)
+    binary = "places binary, sizes binary"
+    by_part = docs.mapInArrow(words, f"part int, block long, {binary}, words binary").repartition(wide, "part")
+    back = by_part.mapInArrow(encoded, f"block long, {binary}, data binary, doc_id {kind}")
+    there = docs.mapInArrow(streams, f"block long, {binary}, data binary, doc_id {kind}")
+    return (
+        back.union(there)
+        .repartition(wide, "block")
+        .sortWithinPartitions("block", F.col("places").isNull())
+        .mapInArrow(whole, f"doc_id {kind}, ids array<int>")
     )
 
 
@@ -268,12 +298,23 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     Each id is looked up in the vocabulary's token bytes, a table as long as
     the vocabulary.  Null ids count as none.  An unknown id is an error.
     """
-    shared = encoded.sparkSession.sparkContext.broadcast({i: b for b, i in ranks.items()})
+    size = max(ranks.values(), default=-1) + 1
+    tokens = [b""] * size
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    sizes = np.array([len(t) if t else -1 for t in tokens], np.int64)
+    shared = encoded.sparkSession.sparkContext.broadcast((b"".join(tokens), sizes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.__getitem__
+        flat, size = np.frombuffer(shared.value[0], np.uint8), shared.value[1]
+        start = np.cumsum(np.maximum(size, 0)) - np.maximum(size, 0)
         for batch in batches:
-            data = [b"".join(map(token, ids or ())) for ids in batch["ids"].to_pylist()]
+            data = []
+            for ids in batch["ids"]:
+                ids = ids.values.to_numpy() if ids.is_valid else np.zeros(0, np.int64)
+                if len(ids) and (size[ids] < 0).any():
+                    raise ValueError("an id is not in the vocabulary")
+                data.append(flat[_spread(start[ids], size[ids])].tobytes())
             yield batch.append_column("bytes", pa.array(data, pa.binary()))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
