@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopgrain.llm import bpe, decontamination, fingerprints, language_id, line_dedup, near_duplicates, passages, toxicity, url_filter
+from shopgrain.llm import bpe, context_mixing, decontamination, fingerprints, language_id, line_dedup, near_duplicates, passages, toxicity, url_filter
 from shopgrain.llm.work import prepared
 
 
@@ -17,6 +17,7 @@ def _over(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 QUERIES = {
     "op1_repeated_passages": _over(passages.passages_query),
     "op2_fingerprints": _over(fingerprints.fingerprint_query),
+    "op3_context_mixing": _over(context_mixing.scoring_query),
     "op4_near_dedup": _over(near_duplicates.near_dedup_query),
     "op5_line_dedup": _over(line_dedup.line_dedup_query),
     "op6_toxicity": _over(toxicity.toxicity_query),

@@ -69,6 +69,15 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * back[starts])
 
 
+def prefix_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each byte of consecutive runs, a number for what stands before it in its run."""
+    forth, back = _power(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_VALUE[data] * forth[: len(data)], out=total[1:])
+    first = np.repeat(starts, sizes)
+    return mix((total[:-1] - total[first]) * back[first])
+
+
 def rolling(data: np.ndarray, reach: int) -> np.ndarray:
     """For each byte, a number for it and up to `reach` - 1 bytes before it."""
     n = len(data)
