@@ -24,7 +24,7 @@ from shopgrain.llm.words import SHINGLE, SPACE, mix, runs_of_words, span_hashes,
 from shopgrain.llm.work import Work
 
 PERCENT = 80
-MIN_WORDS = 12
+MIN_WORDS = 8
 SENTENCE_WORDS = 8
 LONG_RUN = 48
 # A pair with a similarity of exactly 0.8 shares one of 6 bands of 2 values
@@ -131,7 +131,7 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Returns doc_id, unit (its number in the text), start and end (bytes), n_words,
     first_doc and first_unit (the earliest of its cluster, which names it), and
-    kept (whether it is that one).  Units of fewer than twelve words are left
+    kept (whether it is that one).  Units of fewer than eight words are left
     alone.  Null and empty texts have no units; rows without a doc_id are not
     compared.  Repeated rows of a doc_id count as one document: the same unit
     number of an equal text is the same unit.  Other columns are ignored.
