@@ -2,10 +2,10 @@
 
 Amounts are doubles.  Adding doubles gives a result that depends on the order
 of the rows, and so on partitioning and task retries, and a mean on a half
-cent then flips between runs.  Sums are therefore taken over whole numbers of
-1/10000: exact, order-free, one 8-byte buffer inside generated code.  The
-range (9.2e14 currency units per group) is far above any ledger, and the ANSI
-overflow check raises rather than wraps.
+cent then flips between runs.  Sums are therefore taken over decimals with ten
+places.  An amount or a total that does not fit fails the query; it is never
+left out, cut or wrapped.  Infinite amounts and those that are no number make
+the result so, as they do in a plain sum.
 """
 
 from __future__ import annotations
@@ -13,17 +13,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_UNITS = 10_000.0
-_LIMIT = 9.0e14
+_INFINITE = float("inf")
+_WHOLE = 2.0**52  # doubles of this size have no decimals
+
+
+def _sums(amount: Column) -> Column:
+    amount = amount.cast("double")
+    odd = F.abs(amount) >= _INFINITE  # Spark sorts NaN above infinity
+    exact = F.sum(F.when(~odd, amount.cast("decimal(28,10)")))
+    return F.coalesce(F.sum(F.when(odd, amount)), exact.cast("double"))
 
 
 def units(amount: Column) -> Column:
-    """`amount` as a whole number of 1/10000; NULL if it is not a number."""
-    return F.when(F.abs(amount) < _LIMIT, F.floor(amount * _UNITS + 0.5))
+    """An amount to be added up in steps, exact; one that is not finite fails."""
+    return amount.cast("double").cast("decimal(28,10)")
 
 
 def from_units(total: Column) -> Column:
-    return total / F.lit(_UNITS)
+    return total.cast("double")
 
 
 def round2(x: Column) -> Column:
@@ -31,16 +38,16 @@ def round2(x: Column) -> Column:
 
     The last term turns a negative zero into a plain one.
     """
-    return F.signum(x) * F.floor(F.abs(x) * 100.0 + 0.5) / 100.0 + 0.0
+    near = F.signum(x) * F.floor(F.abs(x) * 100.0 + 0.5) / 100.0 + 0.0
+    return F.when(F.abs(x) < _WHOLE, near).otherwise(x)
 
 
 def amount_sum(amount: Column) -> Column:
-    return from_units(F.sum(units(amount)))
+    return _sums(amount)
 
 
 def amount_avg(amount: Column) -> Column:
-    whole = units(amount)
-    return from_units(F.sum(whole)) / F.count(whole)
+    return _sums(amount) / F.count(amount)
 
 
 def coordinate_avg(degrees: Column) -> Column:

@@ -27,7 +27,9 @@ def whole_number(c: Column) -> Column:
     an exception inside, far dearer than the match.
     """
     digits = F.regexp_extract(c, r"^\s*([+-]?\d+)(\.\d*)?\s*$", 1)
-    return F.nullif(digits, F.lit("")).try_cast("int")
+    # Decimals alone are a number below one; a lone point is none.
+    below_one = c.rlike(r"^\s*[+-]?\.\d+\s*$")
+    return F.when(below_one, 0).otherwise(F.nullif(digits, F.lit("")).try_cast("int"))
 
 
 def _parsed(c: Column, kind: str) -> Column:

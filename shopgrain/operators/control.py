@@ -57,10 +57,7 @@ def record_load(
     now = now or dt.datetime.now(dt.timezone.utc)
     previous = latest(read_audit(spark, path), only_success=True).first()
     if notes is None:
-        notes = (
-            f"Loaded {files_loaded} files for partition={logical_date} "
-            f"at {now:%Y-%m-%d %H:%M:%S} UTC"
-        )
+        notes = f"{logical_date}: {files_loaded} files, finished {now:%Y-%m-%dT%H:%M:%SZ}"
     row = (
         dag_id, run_id, logical_date, now,
         previous.load_timestamp if previous else None,

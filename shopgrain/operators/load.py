@@ -204,8 +204,10 @@ def load_fact_day(
             replace_day(others, batch, day), f"{table.name}-days"
         )
         days = _days_of(rows)
-        files.remove(spark, _day_dir(path, day))
+        # Written first: a failing write leaves the old day as it was.
         _write_days(rows, path, list(table.key), _tasks(spark, size, len(days)))
+        if day not in days:
+            files.remove(spark, _day_dir(path, day))
 
 
 def _snapshots(spark: SparkSession, path: str) -> list[str]:
@@ -229,6 +231,8 @@ def load_dimension(
     Rows are laid out by the cluster columns with the key behind them, so one
     frequent value still spreads over many files with tight min/max ranges.
     """
+    if keep < 1:
+        raise ValueError("at least one snapshot is kept")
     if batch.isEmpty():
         return
     done = _snapshots(spark, path)

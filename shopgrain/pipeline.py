@@ -70,12 +70,12 @@ def clean_to(
     at: dt.datetime | None = None,
 ) -> int:
     """Clean one table's files into a directory; returns the rows read."""
+    if clean_table(spark, name, source, at).isEmpty():
+        log.warning("%s: no rows in %s, earlier output stays", name, source)
+        return 0
     seen = Observation(f"read {name}")
     write_day(clean_table(spark, name, source, at, seen), output)
-    rows = seen.get["rows"]
-    if not rows:
-        log.warning("%s: no rows in %s", name, source)
-    return rows
+    return seen.get["rows"]
 
 
 def load_day(spark: SparkSession, zone: str, warehouse: str, day: str) -> None:

@@ -35,7 +35,7 @@ ITEM_FIGURES = [
 
 
 def order_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All three inputs meet on order_id: one shuffle each, no other."""
+    """All three inputs meet on order_id; items are read twice, once for the sellers."""
     status = F.col("order_status")
     paid = or_zero(F.col("total_payment_value"), "double")
     sold = or_zero(F.col("order_gmv"), "double")

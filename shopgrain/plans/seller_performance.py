@@ -15,12 +15,8 @@ from shopgrain.functions.numbers import (
     percent,
     round2,
 )
-from shopgrain.operators.joins import with_coordinates
-from shopgrain.operators.rollups import (
-    order_facts,
-    review_totals,
-    seller_order_totals,
-)
+from shopgrain.operators.joins import order_context, with_coordinates
+from shopgrain.operators.rollups import seller_order_totals
 
 
 def seller_totals(
@@ -33,8 +29,7 @@ def seller_totals(
     """
     return (
         seller_order_totals(items)
-        .join(order_facts(orders), "order_id", "left")
-        .join(review_totals(reviews), "order_id", "left")
+        .join(order_context(orders, reviews), "order_id", "left")
         .groupBy("seller_id")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -57,8 +58,15 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named
     current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        current = tempfile.mkdtemp(prefix="shopgrain-")
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+    if current:
+        return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _local_dir(_application: str) -> str:
+    return tempfile.mkdtemp(prefix="shopgrain-")
 

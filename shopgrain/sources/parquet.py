@@ -19,7 +19,7 @@ def write_day(df: DataFrame, path: str) -> None:
 def read_staging(
     spark: SparkSession, zone: str, table: str, day: str
 ) -> DataFrame:
-    """One day's cleaned rows in table types; no footer is read for a schema.
+    """One day's cleaned rows in table types.
 
     Reading the directory anew is what truncate-and-load means here.
     """

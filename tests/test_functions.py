@@ -43,12 +43,24 @@ def test_sum_and_mean_of_nothing(spark):
     assert (row.s, row.a) == (None, None)
 
 
-def test_not_a_number_counts_as_missing(spark):
+def test_not_a_number_stays_one(spark):
     df = spark.createDataFrame([(1.5,), (float("nan"),), (float("inf"),)], "x double")
     row = df.agg(
         numbers.amount_sum(F.col("x")).alias("s"), numbers.amount_avg(F.col("x")).alias("a")
     ).first()
-    assert (row.s, row.a) == (1.5, 1.5)
+    assert math.isnan(row.s) and math.isnan(row.a)
+
+
+def test_sums_are_not_cut_or_capped(spark):
+    tiny = spark.range(1000).select(F.lit(0.00004).alias("x"))
+    assert tiny.agg(numbers.amount_sum(F.col("x")).alias("s")).first().s == 0.04
+    large = spark.createDataFrame([(8e14,)] * 4 + [(9.5e15,)], "x double")
+    assert large.agg(numbers.amount_sum(F.col("x")).alias("s")).first().s == 1.27e16
+    beyond = spark.createDataFrame([(1e19,)], "x double")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        beyond.agg(numbers.amount_sum(F.col("x")).alias("s")).first()
+    rounded = spark.createDataFrame([(5e17,), (-5e17,), (float("inf"),)], "x double").select(numbers.round2(F.col("x")).alias("r"))
+    assert [r.r for r in rounded.collect()] == [5e17, -5e17, float("inf")]
 
 
 def test_coordinates_keep_all_digits(spark):

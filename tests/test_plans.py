@@ -141,7 +141,7 @@ def hot(tables, spark):
     return out
 
 
-@pytest.mark.parametrize("name", ["payment_analysis", "product_performance", "review_sentiment"])
+@pytest.mark.parametrize("name", ["payment_analysis", "product_performance", "review_sentiment", "seller_performance"])
 def test_hot_order_is_split(spark, hot, skew_settings, name):
     assert "skew=true" in final_plan(REPORTS[name](hot))
 
