@@ -141,11 +141,17 @@ def hot(tables, spark):
     return out
 
 
-@pytest.mark.parametrize("name", ["payment_analysis", "product_performance", "review_sentiment", "seller_performance"])
+@pytest.mark.parametrize("name", ["payment_analysis", "product_performance", "review_sentiment"])
 def test_hot_order_is_split(spark, hot, skew_settings, name):
     assert "skew=true" in final_plan(REPORTS[name](hot))
 
 
+def test_hot_order_of_many_sellers_is_split(spark, hot, skew_settings):
+    many = hot["order_items"].withColumn("seller_id", F.concat(F.lit("s"), F.monotonically_increasing_id()))
+    plan = final_plan(REPORTS["seller_performance"]({**hot, "order_items": many}))
+    assert "skew=true" in plan
+
+
 def test_hot_order_is_split_at_load(spark, hot, skew_settings):
     staged = hot["order_items"].drop("sale_date")
     assert "skew=true" in final_plan(load.with_sale_date(staged, hot["orders"]))
