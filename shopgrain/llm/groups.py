@@ -104,44 +104,49 @@ def similar(
 ) -> tuple[DataFrame, DataFrame]:
     """(a, b) links that connect all ids whose sets share `percent` or more.
 
-    `bands` has (id, n, key): the keys of each id's bands and its set size, or
-    0 where that is not known; `sets_of` gives (id, shingles) for a table of
-    ids; `sketches` (id, n, sketch) lets unlikely pairs be left out.  First every
-    id of a bucket is held against the bucket's smallest id, which is linear
-    however large a bucket is.  Then, only in buckets whose ids are still in
-    several groups, all pairs between different groups are held against each
-    other.  No pair that shares a bucket and is not connected yet goes untested.
+    `bands` has (id, key): the keys of each id's bands; `sets_of` gives (id,
+    shingles) for a table of ids; `sketches` (id, n, sketch) lets unlikely pairs
+    be left out.  First every id of a bucket is held against three of its ids,
+    the smallest and two that meet the most others; this is linear however large
+    a bucket is, and joins a text to its edited copies.  Then the ids of buckets
+    that still hold several groups are held against each other where
+    `candidates` finds that their sets may share enough.  No pair that shares a
+    bucket, shares enough and is not connected yet goes untested.
 
     Also returns the ids that share any bucket.
     """
+    several = work.put(
+        bands.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("low"), F.max("id").alias("last"))
+        .where("low <> last").select("key", "size", "low"),
+        "several",
+    )
+    crowd = work.put(bands.select("id", "key").join(_sized(work, several), "key").distinct(), "crowd")
+    ids = work.put(crowd.groupBy("id").agg(F.sum("size").alias("met")), "ids")
+    most, other = F.max(F.struct("met", "id")), F.max(F.struct("met", F.bitwise_not("id").alias("id")))
     hubs = work.put(
-        bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last").select("key", "hub"),
+        crowd.join(_sized(work, ids), "id").groupBy("key", "low").agg(most.alias("m"), other.alias("o"))
+        .select("key", F.array_distinct(F.array("low", "m.id", F.bitwise_not("o.id"))).alias("hubs")),
         "hubs",
-    )
-    crowd = work.put(bands.join(_sized(work, hubs), "key").distinct(), "crowd")
-    ids = work.put(crowd.select("id").distinct(), "ids")
+    )
     sets = work.put(sets_of(ids), "sets")
-    stars = work.put(crowd.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
+    crowd = crowd.join(_sized(work, hubs), "key").select("key", "id", "hubs")
+    stars = work.put(
+        crowd.select("id", F.explode("hubs").alias("hub")).where("id <> hub")
+        .select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct(),
+        "stars",
+    )
     links = work.put(verified(stars, sets, percent), "links")
     group = work.put(components(work, links), "group")
     placed = work.put(
-        crowd.join(group, "id", "left").select("key", "id", "n", "hub", F.coalesce("component", "id").alias("group")),
+        crowd.join(group, "id", "left").select("key", "id", F.array_contains("hubs", F.col("id")).alias("is_hub"), F.coalesce("component", "id").alias("group")),
         "placed",
     )
     mixed = work.put(
         placed.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("key"),
         "mixed",
     )
-    rest = work.put(placed.where("id <> hub").join(_sized(work, mixed), "key"), "rest")
-    left, right = (
-        rest.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "group"))) for s in ("a", "b")
-    )
-    near = (
-        (F.col("id_a") < F.col("id_b"))
-        & (F.col("group_a") != F.col("group_b"))
-        & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    )
-    pairs = left.join(right, "key").where(near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    rest = work.put(placed.where("not is_hub").join(_sized(work, mixed), "key").select("id", "group").distinct(), "rest")
+    pairs = candidates(work, rest, sets, percent)
     if sketches is not None:
         sketch_a, sketch_b = (
             sketches.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
@@ -150,10 +155,44 @@ def similar(
         pairs = pairs.join(sketch_a, "a").join(sketch_b, "b").mapInArrow(_likely(percent / 100 - SLACK), "a long, b long")
     more = work.put(verified(pairs, sets, percent), "links")
     out = work.put(links.union(more), "links")
-    work.drop(hubs, crowd, sets, stars, links, group, placed, mixed, rest, more)
+    work.drop(several, hubs, sets, stars, links, group, placed, mixed, rest, more)
     return out, ids
 
 
+def candidates(work: Work, rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different groups of `rest` (id, group) whose sets may share enough.
+
+    Shingles are put in one order, the rarest first.  Two sets that share
+    enough have their first common shingle near the front of both, with enough
+    shingles left after it in either; pairs meet on such a shingle only.  A
+    shingle of one set alone takes a place but is not joined, so copies with
+    many edits of their own, which are unlike each other, do not meet.
+    """
+    each = rest.join(sets, "id").select("id", "group", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    common = each.groupBy("s").agg(F.count("*").alias("sets")).where("sets > 1")
+    n, alone = F.col("n"), F.col("n") - F.size("common")
+    front = n - F.ceil(n * percent / 100) + 1
+    ordered = each.join(common, "s").groupBy("id", "group", "n").agg(F.array_sort(F.collect_list(F.struct("sets", "s"))).alias("common"))
+    fronts = work.put(
+        ordered.select(
+            "id", "group", "n", alone.alias("alone"),
+            F.posexplode(F.slice("common", F.lit(1), F.greatest(front - alone, F.lit(0)).cast("int"))).alias("at", "c"),
+        ).select("id", "group", "n", (F.col("alone") + F.col("at")).alias("place"), "c.s"),
+        "fronts",
+    )
+    small, large = (fronts.select("s", *(F.col(c).alias(f"{c}_{k}") for c in ("id", "group", "n", "place"))) for k in ("a", "b"))
+    # The larger set, or of equal ones the larger id, is b.
+    need = (F.col("n_a") + F.col("n_b")) * percent
+    left_a, left_b = F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")
+    near = (
+        ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("id_a") < F.col("id_b"))))
+        & (F.col("group_a") != F.col("group_b"))
+        & (F.col("n_a") * 100 >= F.col("n_b") * percent)
+        & (F.least(left_a, left_b) * (100 + percent) >= need)
+    )
+    return small.join(large, "s").where(near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
 def _sized(work: Work, table: DataFrame) -> DataFrame:
     """To be broadcast where its size on disk is within the bound."""
     return F.broadcast(table) if work.small(table) else table

@@ -91,7 +91,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         found = docs.join(near, "doc_id").select(F.col("id").alias("doc_id"), "text", "s1", "s2")
         return found.mapInArrow(_sets, "id long, shingles array<long>").dropDuplicates(["id"])
 
-    bands = named.select("id", "n", F.explode("bands").alias("key"))
+    bands = named.select("id", F.explode("bands").alias("key"))
     links, _ = similar(work, bands, sets_of, percent, named)
     group = work.put(components(work, links), "group")
     # Groups are named by their smallest document.

@@ -109,8 +109,7 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, bounds in texts_of(batch["text"]):
             u = Units(data, bounds)
             yield pa.RecordBatch.from_arrays(
-                [longs(np.repeat(u.id, BANDS)), longs(np.zeros(len(u.id) * BANDS, np.int64)), longs(u.keys().ravel())],
-                ["id", "n", "key"],
+                [longs(np.repeat(u.id, BANDS)), longs(u.keys().ravel())], ["id", "key"]
             )
 
 
@@ -149,7 +148,7 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         near = F.broadcast(wanted) if work.small(wanted) else wanted
         return docs.join(near, "doc_id").select("text", "ids").mapInArrow(_sets, "id long, shingles array<long>").dropDuplicates(["id"])
 
-    links, _ = similar(work, docs.select("text").mapInArrow(_keyed, "id long, n long, key long"), sets_of, percent)
+    links, _ = similar(work, docs.select("text").mapInArrow(_keyed, "id long, key long"), sets_of, percent)
     group = work.put(components(work, links), "group")
     classes = units.groupBy("id").agg(place.alias("p"), F.max(F.struct("doc_id", "unit")).alias("q"))
     several = work.put(classes.where("p <> q").select("id"), "several")

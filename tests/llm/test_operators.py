@@ -11,9 +11,10 @@ import pytest
 from shopgrain.llm import (
     bpe, context_mixing, decontamination, fingerprints, language_id, line_dedup, near_duplicates, passages, toxicity, url_filter,
 )
+from shopgrain.llm.groups import candidates
 from shopgrain.llm.setsketch import jaccard, merge, sketch
 from shopgrain.llm.words import mix, word_hashes
-from shopgrain.llm.work import prepared
+from shopgrain.llm.work import Work, prepared
 from pyspark.sql import functions as F
 
 P = pytest.importorskip("public_tokenizers")
@@ -78,6 +79,43 @@ def test_near_duplicates_against_brute_force(docs):
     assert all(got[i].n_shingles == len(shingles(t)) for i, t in rows)
 
 
+def edited_copies(seed, n):
+    """Copies of one text with one to eight edits each, of which none is the text itself."""
+    r = random.Random(seed)
+    base, rows = prose(seed, 150).split(), []
+    for k in range(n):
+        changed = list(base)
+        for _ in range(r.randint(1, 8)):
+            changed[r.randrange(len(changed))] = f"x{r.randrange(9999)}"
+        rows.append((k, " ".join(changed)))
+    return rows
+
+
+def test_near_duplicates_of_one_text(docs):
+    rows = edited_copies(21, 60)
+    got = {x.doc_id: x.component_id for x in near_duplicates.near_duplicates(docs(rows)).collect()}
+    want = brute_groups(rows, 85)
+    assert got == want and len(set(want.values())) > 5
+
+
+def test_candidates_lose_no_pair(spark, docs):
+    rows = edited_copies(22, 80) + [(100 + k, t.rsplit(" ", 15)[0]) for k, t in edited_copies(22, 20)]
+    found = {i: shingles(t) for i, t in rows}
+    number = {s: k for k, s in enumerate(set().union(*found.values()))}
+    docs(rows)  # settings of the session
+    sets = spark.createDataFrame([(i, [number[s] for s in x]) for i, x in found.items()], "id long, shingles array<long>")
+    rest = sets.select("id", (F.col("id") % 50).alias("group"))
+    for percent in (80, 85):
+        got = [(r.a, r.b) for r in candidates(Work(spark), rest, sets, percent).collect()]
+        want = {
+            frozenset((a, b))
+            for a, b in itertools.combinations(found, 2)
+            if a % 50 != b % 50 and len(found[a] & found[b]) * 100 >= len(found[a] | found[b]) * percent
+        }
+        assert len(got) == len(set(map(frozenset, got))) and want <= set(map(frozenset, got)) and want
+        assert len(got) < 100 * 99 / 4
+
+
 def test_near_duplicates_odd_rows(docs):
     got = near_duplicates.near_duplicates(docs(ODD)).collect()
     assert len(got) == len(ODD)
