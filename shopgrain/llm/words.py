@@ -120,11 +120,11 @@ def shingle_hashes(words: np.ndarray) -> np.ndarray:
     return np.unique(runs_of_words(words))
 
 
-def runs_of_words(words: np.ndarray) -> np.ndarray:
-    """One number for each run of five words, in order."""
-    n = max(len(words) - SHINGLE + 1, 0)
+def runs_of_words(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """One number for each run of `size` words (at most five), in order."""
+    n = max(len(words) - size + 1, 0)
     run = words[:n] * _PLACE[0]
-    for k in range(1, SHINGLE):
+    for k in range(1, size):
         run = run + words[k : n + k] * _PLACE[k]
     return mix(run)
 

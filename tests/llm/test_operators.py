@@ -343,3 +343,25 @@ def test_speller_is_a_distribution():
             p *= float(np.where(bit == 1, one, 1 - one)[0])
         total += p
     assert total == pytest.approx(1, abs=1e-6)
+
+
+def test_leaks_do_not_depend_on_the_cosine(spark, docs):
+    items = [(k, prose(3000 + k, n)) for k, n in enumerate((1, 2, 3, 4, 5, 6, 7, 8, 9, 12, 15, 20, 30, 60))]
+    items.append((20, "short item here"))
+    rows = [(k, f"{prose(k + 40, 90)} {text} {prose(k + 540, 90)}") for k, text in items] + [(4000, "a short item here b")]
+    one = items[9][1].split()
+    one[9] = "other"  # 11 of 12 words
+    rows.append((4001, f"{prose(7, 50)} {' '.join(one)} {prose(8, 50)}"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    flat = {k: t.lower().split() for k, t in items}
+
+    def verbatim(text, item):
+        words = text.lower().split()
+        return any(words[k : k + len(item)] == item for k in range(len(words) - len(item) + 1))
+
+    wanted = {(d, k) for d, text in rows for k, item in flat.items() if verbatim(text, item)} | {(4001, 9)}
+    got = {(x.doc_id, x.item_id) for x in decontamination.leaks(docs(rows), bench, cosine=1.5).collect()}
+    assert {(k, k) for k, _ in items} | {(4000, 20)} <= wanted <= got
+    assert wanted <= {(x.doc_id, x.item_id) for x in decontamination.leaks(docs(rows), bench).collect()}
+    left = {x.doc_id for x in decontamination.drop_leaks(docs([(4000, rows[-2][1]), *ODD]), bench).collect()}
+    assert 4000 not in left and None in left
