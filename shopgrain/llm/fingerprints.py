@@ -1,15 +1,20 @@
 """Document fingerprints by context-triggered piecewise hashing (operator 2).
 
 A rolling hash over seven bytes decides where a text is cut, so a change moves
-no cut but those beside it.  Every piece gives one character of a signature.
-A fingerprint has the block size (a power of two: the largest that leaves 32
-pieces or more), its signature and the signature of twice the block size, and
-two are compared by edit distance where a block size is common to both.
+no cut but those near it.  A piece is as long as one block to two: it ends at
+the first trigger in that reach, or where the hash is greatest if none fires.
+Repeated lines, in which a trigger fires always or never, are therefore cut as
+finely as prose.  Every piece gives one character of a signature.  A fingerprint
+has the block size (a power of two that the length alone decides, so that the
+whole text falls into 32 to 128 pieces), its signature and the signature of twice
+the block size, and two are compared by edit distance where a block size is
+common to both.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,11 +26,26 @@ from shopgrain.llm.arrow import longs
 from shopgrain.llm.words import rolling, span_hashes
 
 REACH = 7
-ENOUGH = 32
-MOST = 128  # what follows the last but one piece is one piece, however long
+BLOCKS = 64  # in a text, or up to twice as many
 _LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 
 
+def _cuts(low: np.ndarray, block: int) -> list[int]:
+    """Where the pieces of a text end; the last may be shorter than a block."""
+    n, at, out = len(low), 0, []
+    ends = (np.flatnonzero((low & np.uint64(block - 1)) == block - 1) + 1).tolist()
+    while at < n:
+        k = bisect_left(ends, at + block)
+        if k < len(ends) and ends[k] <= at + 2 * block:
+            at = ends[k]
+        elif at + 2 * block >= n:
+            at = n
+        else:
+            at += block + int(low[at + block - 1 : at + 2 * block].argmax())
+        out.append(at)
+    return out
+
+
 def fingerprint(text: str) -> str:
     """`block:signature:signature of twice the block`; `1::` for an empty text."""
     data = np.frombuffer(text.encode(), np.uint8)
@@ -33,14 +53,10 @@ def fingerprint(text: str) -> str:
     if not n:
         return "1::"
     low = rolling(data, REACH)
-    size = 1 << max(0, (n // ENOUGH).bit_length() - 1)
-    while size > 1 and np.count_nonzero((low & np.uint64(size - 1)) == size - 1) + 1 < ENOUGH:
-        size //= 2
+    size = 1 << max(0, (n // BLOCKS).bit_length() - 1)
 
     def signature(block: int) -> str:
-        cut = np.flatnonzero((low & np.uint64(block - 1)) == block - 1)[: MOST - 1] + 1
-        if not len(cut) or cut[-1] != n:
-            cut = np.append(cut, n)
+        cut = np.array(_cuts(low, block))
         start = np.concatenate([[0], cut[:-1]])
         return _LETTERS[span_hashes(data, start, cut) >> np.uint64(58)].tobytes().decode()
 

@@ -365,3 +365,22 @@ def test_leaks_do_not_depend_on_the_cosine(spark, docs):
     assert wanted <= {(x.doc_id, x.item_id) for x in decontamination.leaks(docs(rows), bench).collect()}
     left = {x.doc_id for x in decontamination.drop_leaks(docs([(4000, rows[-2][1]), *ODD]), bench).collect()}
     assert 4000 not in left and None in left
+
+
+def test_fingerprints_of_repeated_lines_cover_the_whole_text(spark):
+    def likeness(*pairs):
+        rows = spark.createDataFrame([(fingerprints.fingerprint(a), fingerprints.fingerprint(b)) for a, b in pairs], "a string, b string")
+        return [x.s for x in rows.select(fingerprints.likeness(F.col("a"), F.col("b")).alias("s")).collect()]
+
+    other = prose(900, 40_000)
+    for seed in range(6):
+        one, two = (prose(900 + seed * 2 + k, 30)[:59] + "\n" for k in (1, 2))
+        text = one * 5000
+        for whole in (text, one * 2500 + two * 2500, one * 2500 + other[: len(text) // 2]):
+            size, first, second = fingerprints.fingerprint(whole).split(":")
+            assert 32 <= len(first) <= 128 and int(size) * len(first) <= len(whole) + int(size)
+        # Equal openings and other remainders; half replaced by prose.
+        got = likeness((one * 500 + one * 4500, one * 500 + two * 4500), (text, one * 2500 + other[: len(text) // 2]))
+        assert got[0] < 0.25 and 0.35 < got[1] < 0.65
+    for n in (1, 5, 63, 64, 127, 128, 5000, 300_000):
+        assert len(fingerprints.fingerprint(other[:n]).split(":")[1]) in range(min(n, 32), 129)
