@@ -1,10 +1,12 @@
 """Substring dedup by paragraph MinHash banding (operator 1).
 
-A text is cut into units where its own content says so: at line ends, after
-every sentence of eight words or more, and, in runs of 48 words without such an
-end, after words whose hash falls on one of sixteen values.  A passage that
-stands in the middle of different documents therefore falls into the same
-units.  Units with equal shingles are one class; classes are banded by MinHash
+The units of a text are its paragraphs, which are its lines, and within them the
+pieces that the text's own content cuts: after every sentence of eight words or
+more, and, in runs of 48 words without such an end, after words whose hash falls
+on one of sixteen values.  A passage that stands in the middle of different
+documents therefore falls into the same pieces.  Paragraphs are compared with
+paragraphs and pieces with pieces only, as a paragraph is like its own longest
+piece.  Units with equal shingles are one class; classes are banded by MinHash
 values, verified by exact Jaccard similarity of their five-word shingles, and
 clustered.  Of each cluster the earliest unit stays.
 """
@@ -35,6 +37,7 @@ _RNG = np.random.default_rng(0xBA2D)
 _MULTIPLY = _RNG.integers(1, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _ADD = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _BAND = _RNG.integers(1, 1 << 63, BANDS, dtype=np.uint64)
+_WHOLE = np.uint64(0x9FB21C651E98DF25)
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord("."), ord("!"), ord("?")]] = True
 
@@ -63,8 +66,13 @@ class Units:
         first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
         ends_of_text = np.searchsorted(text, np.arange(len(bounds)))
         number = np.arange(len(last)) - np.searchsorted(first, ends_of_text[text[first]])
+        stop = np.flatnonzero(hard) if n else place
+        begin = np.concatenate([[0], stop[:-1] + 1]) if len(stop) else stop
+        line = np.arange(len(stop)) - np.searchsorted(begin, ends_of_text[text[begin]])
+        first, last, number = (np.concatenate(x) for x in ((first, begin), (last, stop), (number, -1 - line)))
+        whole = np.arange(len(first)) >= len(first) - len(stop)
         long = last - first + 1 >= MIN_WORDS
-        self.first, self.last = first[long], last[long]
+        self.first, self.last, self.whole = first[long], last[long], whole[long]
         self.text, self.number = text[self.first], number[long]
         self.start = starts[self.first] - bounds[self.text]
         self.end = ends[self.last] - bounds[self.text]
@@ -72,7 +80,11 @@ class Units:
         at = np.empty(2 * len(self.first), np.int64)
         at[::2], at[1::2] = self.first, self.last - SHINGLE + 2
         self._at = at
-        self.id = self._over(np.add, mix(self.shingles ^ np.uint64(0xD6E8FEB86659FD93))).view(np.int64)
+        self.id = self._apart(self._over(np.add, mix(self.shingles ^ np.uint64(0xD6E8FEB86659FD93)))).view(np.int64)
+
+    def _apart(self, x: np.ndarray) -> np.ndarray:
+        """Numbers that paragraphs do not share with pieces of equal words."""
+        return np.where(self.whole, mix(x ^ _WHOLE), x)
 
     def _over(self, how: np.ufunc, values: np.ndarray) -> np.ndarray:
         """One value per unit from those of its shingles."""
@@ -85,7 +97,7 @@ class Units:
         """Band keys, a row per unit."""
         low = (self.shingles >> np.uint64(32)).astype(np.uint32)
         least = [self._over(np.minimum, low * a + b).astype(np.uint64) for a, b in zip(_MULTIPLY, _ADD, strict=True)]
-        bands = [mix(mix(least[2 * k] << np.uint64(32) | least[2 * k + 1]) ^ _BAND[k]) for k in range(BANDS)]
+        bands = [self._apart(mix(mix(least[2 * k] << np.uint64(32) | least[2 * k + 1]) ^ _BAND[k])) for k in range(BANDS)]
         return np.stack(bands, 1).view(np.int64)
 
     def set(self, k: int) -> np.ndarray:
@@ -128,7 +140,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_passages(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Every unit that has a near or exact copy: one row each.
 
-    Returns doc_id, unit (its number in the text), start and end (bytes), n_words,
+    Returns doc_id, unit (its number in the text: pieces from 0 up, paragraphs
+    from -1 down), start and end (bytes; a paragraph's holds its pieces), n_words,
     first_doc and first_unit (the earliest of its cluster, which names it), and
     kept (whether it is that one).  Units of fewer than eight words are left
     alone.  Null and empty texts have no units; rows without a doc_id are not

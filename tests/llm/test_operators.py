@@ -384,3 +384,30 @@ def test_fingerprints_of_repeated_lines_cover_the_whole_text(spark):
         assert got[0] < 0.25 and 0.35 < got[1] < 0.65
     for n in (1, 5, 63, 64, 127, 128, 5000, 300_000):
         assert len(fingerprints.fingerprint(other[:n]).split(":")[1]) in range(min(n, 32), 129)
+
+
+def test_paragraphs_with_one_word_changed_against_brute_force(docs):
+    rows = []
+    for k in range(12):
+        words = prose(7000 + k, 60).replace("." if k % 3 == 0 else "\0", "").split()
+        changed = [*words[: 5 + 4 * k], "other", *words[6 + 4 * k :]]
+        for doc, own in ((k, words), (100 + k, changed)):
+            rows.append((doc, f"{prose(doc + 300, 30)}\n{' '.join(own)}\n{prose(doc + 600, 25)}"))
+    lines = [(doc, line) for doc, text in rows for line in text.split("\n")]
+    sets = [shingles(line) for _, line in lines]
+    wanted = set()
+    for (a, s), (b, t) in itertools.combinations(zip(lines, sets, strict=True), 2):
+        if len(s & t) * 100 >= len(s | t) * 80:
+            wanted |= {a, b}
+    text_of = {doc: text.encode() for doc, text in rows}
+    got = [x for x in passages.repeated_passages(docs(rows)).collect() if x.unit < 0]
+    assert {(x.doc_id, text_of[x.doc_id][x.start : x.end].decode()) for x in got} == wanted and len(wanted) == 24
+    assert all(x.first_doc == x.doc_id % 100 and x.kept == (x.doc_id < 100) for x in got)
+    left = {x.doc_id: x.text for x in passages.cut_passages(docs(rows)).collect()}
+    for k in range(12):
+        assert left[k] == rows[2 * k][1] and left[100 + k].split("\n")[1].strip() == ""
+
+
+def test_a_paragraph_is_no_copy_of_its_own_piece(docs):
+    rows = [(1, prose(41, 11) + " " + "tail. of two"), (2, prose(42, 200))]
+    assert passages.repeated_passages(docs(rows)).count() == 0
