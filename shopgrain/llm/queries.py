@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopgrain.llm import bpe, context_mixing, decontamination, fingerprints, language_id, line_dedup, near_duplicates, passages, toxicity, url_filter
+from shopgrain.llm import bpe, context_mixing, decontamination, fingerprints, language_id, line_dedup, near_duplicates, passages, quality, toxicity, url_filter
 from shopgrain.llm.work import prepared
 
 
@@ -25,5 +25,6 @@ QUERIES = {
     "op8_url_filter": _over(url_filter.url_query),
     "op9_decontamination": _over(decontamination.decontamination_query),
     "op10_byte_bpe": _over(bpe.bpe_query),
+    "op11_quality": _over(quality.quality_query),
 }
 SQL: dict[str, str] = {"op5_line_dedup": line_dedup.LINE_DEDUP_SQL, "op8_url_filter": url_filter.URL_SQL}
