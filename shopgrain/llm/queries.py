@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopgrain.llm import bpe, context_mixing, decontamination, fingerprints, language_id, line_dedup, near_duplicates, passages, quality, toxicity, url_filter
+from shopgrain.llm import bpe, context_mixing, decontamination, fingerprints, hard_negatives, language_id, lexical, line_dedup, near_duplicates, passages, quality, toxicity, url_filter
 from shopgrain.llm.work import prepared
 
 
@@ -26,5 +26,7 @@ QUERIES = {
     "op9_decontamination": _over(decontamination.decontamination_query),
     "op10_byte_bpe": _over(bpe.bpe_query),
     "op11_quality": _over(quality.quality_query),
+    "op12_lexical_search": _over(lexical.lexical_query),
+    "op13_hard_negatives": _over(hard_negatives.negatives_query),
 }
-SQL: dict[str, str] = {"op5_line_dedup": line_dedup.LINE_DEDUP_SQL, "op8_url_filter": url_filter.URL_SQL}
+SQL: dict[str, str] = {"op5_line_dedup": line_dedup.LINE_DEDUP_SQL, "op8_url_filter": url_filter.URL_SQL, "op12_lexical_search": lexical.LEXICAL_SQL, "op13_hard_negatives": hard_negatives.NEGATIVES_SQL}
