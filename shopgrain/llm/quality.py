@@ -5,10 +5,11 @@ shapes of words, and pairs of shapes marked by whether the two words are equal.
 Every n-gram has a place in a table of `1 << BITS`; none is left out.  Each
 present n-gram counts with the logarithm of the ratio of its shares in the two
 classes, each row has length one, and a linear model of the squared hinge loss
-is fitted by dual coordinate descent.
+is fitted by dual coordinate descent.  Its weights are drawn towards their mean
+size, which is plain Naive Bayes, and a logistic curve over the margins of the
+learned rows turns a margin into a score.
 
-Nulls, empty and blank texts have no n-gram and get the score of the bias
-alone.  Case of A-Z matters in shapes only.  Repeated rows are scored row by
+Nulls, empty and blank texts have no n-gram and get the score of margin 0.  Case of A-Z matters in shapes only.  Repeated rows are scored row by
 row; among learned rows a doc_id counts once for each label it has, and where
 it has several texts the one whose places come first stands for it.  Without
 rows of both classes every score is 0.5.  Other columns are not read.
@@ -72,10 +73,42 @@ def ngrams_of(column: pa.Array) -> Iterator[np.ndarray]:
 
 def log_ratios(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """log of each place's share among n-grams of class 1 over that of class 0."""
-    counts = np.full((2, 1 << BITS), SMOOTHING)
+    counts = np.zeros((2, 1 << BITS))
     for row, label in zip(rows, y, strict=True):
         counts[int(label), row] += 1
-    return np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    seen = counts.any(0)
+    counts += SMOOTHING
+    ratio = np.log(counts[1] / counts[1][seen].sum()) - np.log(counts[0] / counts[0][seen].sum())
+    return np.where(seen, ratio, 0.0)  # what no row holds says nothing
+
+
+def curve(margins: np.ndarray, good: np.ndarray, rounds: int = 100) -> tuple[float, float]:
+    """Slope and shift of the logistic curve over the margins, both classes of one weight.
+
+    The targets keep off 0 and 1 as if each class had one more row of either kind.
+    """
+    n1, n0 = int(good.sum()), int((~good).sum())
+    target = np.where(good, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    weight = np.where(good, 0.5 / n1, 0.5 / n0)
+    centre, scale = float(margins.mean()), float(margins.std()) or 1.0
+    x = np.stack([(margins - centre) / scale, np.ones(len(margins))], 1)
+    at = np.array([1.0, 0.0])
+
+    def loss(at: np.ndarray) -> float:
+        z = x @ at
+        return float(weight @ (np.logaddexp(0, z) - target * z))
+
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -50, 50)))
+        slope = x.T @ (weight * (p - target))
+        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-9 * np.eye(2)
+        step, size = np.linalg.solve(bend, slope), 1.0
+        while size > 1e-6 and loss(at - size * step) > loss(at):
+            size /= 2
+        at = at - size * step
+        if np.abs(size * step).max() < 1e-8:
+            break
+    return float(at[0] / scale), float(at[1] - at[0] * centre / scale)
 
 
 def descend(
@@ -108,19 +141,19 @@ def descend(
 
 @dataclass(frozen=True)
 class Model:
-    """For each place its log ratio and its weight on top of that, and the bias."""
+    """For each place its log ratio and its weight on top of that; slope and shift of the score's curve."""
 
     ratio: np.ndarray
     weight: np.ndarray
-    bias: float
+    slope: float
+    shift: float
 
-    def margin(self, places: np.ndarray) -> float:
-        values, length = _scaled(self.ratio, places)
-        return self.bias + (float(self.weight[places] @ values) if length else 0.0)
+    def score(self, places: np.ndarray) -> float:
+        z = self.slope * _margin(self.ratio, self.weight, places) + self.shift
+        return float(1 / (1 + np.exp(-min(max(z, -700.0), 700.0))))
 
     def scores(self, texts: pa.Array) -> list[float]:
-        margins = (self.margin(p) for p in ngrams_of(texts))
-        return [float(1 / (1 + np.exp(-2 * min(max(m, -300.0), 300.0)))) for m in margins]
+        return [self.score(p) for p in ngrams_of(texts)]
 
 
 def _scaled(ratio: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, float]:
@@ -129,10 +162,15 @@ def _scaled(ratio: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, float]:
     return (values / length if length else values), length
 
 
+def _margin(ratio: np.ndarray, weight: np.ndarray, places: np.ndarray) -> float:
+    values, length = _scaled(ratio, places)
+    return float(weight[places] @ values) if length else 0.0
+
+
 def fit(rows: list[np.ndarray], quality: np.ndarray) -> Model:
     size = 1 << BITS
     if len(set(quality.tolist())) < 2:
-        return Model(np.zeros(size), np.zeros(size), 0.0)
+        return Model(np.zeros(size), np.zeros(size), 0.0, 0.0)
     ratio = log_ratios(rows, quality)
     # The bias is one more place, at which every row has 1.
     values = [np.append(_scaled(ratio, r)[0], 1.0) for r in rows]
@@ -141,8 +179,12 @@ def fit(rows: list[np.ndarray], quality: np.ndarray) -> Model:
     # Both classes weigh the same, so that the rarer one is still learned.
     cost = COST * np.where(quality == 1, 0.5 / (quality == 1).mean(), 0.5 / (quality != 1).mean())
     w = descend(places, values, y, cost, size + 1)
-    mean = np.abs(w[:size][ratio != 0]).mean()
-    return Model(ratio, SHARE * w[:size] + (1 - SHARE) * mean * np.sign(w[:size]), float(w[size]))
+    used = ratio != 0
+    mean = np.abs(w[:size][used]).mean() if used.any() else 0.0
+    weight = SHARE * w[:size] + (1 - SHARE) * mean
+    # The bias was fitted beside other weights, so the curve brings its own.
+    margins = np.array([_margin(ratio, weight, r) for r in rows])
+    return Model(ratio, weight, *curve(margins, quality == 1))
 
 
 def learnable(doc_id: str = "doc_id") -> Column:
