@@ -28,6 +28,7 @@ from shopgrain.llm.arrow import bytes_of, lists, longs
 
 _SHORT = 48
 _FAR = 1 << 60
+_TOGETHER = 1 << 14  # words merged at once
 BLOCK_BYTES = 8 << 20
 # The code points with the Unicode property White_Space.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -178,6 +179,48 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
 
 
+class Known:
+    """Words that have been encoded: the place of each, and the ids of all in one array."""
+
+    def __init__(self) -> None:
+        self._place: dict[bytes, int] = {}
+        self._size = np.zeros(1 << 10, np.uint32)
+        self._start = np.zeros(1 << 10, np.int64)
+        self._flat = np.zeros(1 << 12, np.int32)
+        self._used = 0
+
+    def places(self, words: list[bytes], merger: Merger, find) -> np.ndarray:
+        """Where each of `words`, distinct, is; new ones are encoded."""
+        new = [w for w in words if w not in self._place]
+        for a in range(0, len(new), _TOGETHER):
+            self._add(new[a : a + _TOGETHER], merger, find)
+        return np.fromiter(map(self._place.__getitem__, words), np.int64, len(words))
+
+    def _add(self, words: list[bytes], merger: Merger, find) -> None:
+        split = [[x.encode() for x in find(w.decode())] for w in words]
+        ids = merger(list(dict.fromkeys(x for pieces in split for x in pieces)))
+        flat = np.array([i for pieces in split for x in pieces for i in ids[x]], np.int32)
+        size = np.array([sum(len(ids[x]) for x in pieces) for pieces in split], np.int64)
+        n = len(self._place)
+        self._size, self._start = _room(self._size, n + len(words)), _room(self._start, n + len(words))
+        self._flat = _room(self._flat, self._used + len(flat))
+        self._size[n : n + len(words)] = size
+        self._start[n : n + len(words)] = self._used + np.cumsum(size) - size
+        self._flat[self._used : self._used + len(flat)] = flat
+        self._used += len(flat)
+        self._place.update(zip(words, range(n, n + len(words)), strict=True))
+
+    def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each, and all their ids."""
+        size = self._size[places].astype(np.int64)
+        return size, self._flat[_spread(self._start[places], size)]
+
+
+def _room(x: np.ndarray, size: int) -> np.ndarray:
+    """`x`, at least doubled where it is too short."""
+    return x if size <= len(x) else np.concatenate([x, np.zeros(max(size - len(x), len(x)), x.dtype)])
+
+
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Places of the given runs, one after the other."""
     ends = np.cumsum(sizes)
@@ -233,27 +276,23 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
             )
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger, find, known = Merger(shared.value), regex.compile(pattern).findall, {}
+        merger, find, part, known = Merger(shared.value), regex.compile(pattern).findall, None, Known()
+        names = ["block", "places", "sizes", "data", "doc_id"]
         for batch in batches:
-            rows = []
-            for sizes, data in zip(batch["sizes"].to_pylist(), batch["words"].to_pylist(), strict=True):
-                ends = np.cumsum(_unpacked(sizes)).tolist()
-                data = zstandard.decompress(data)
-                rows.append([data[a:b] for a, b in zip([0, *ends], ends)])
-            new = {w: [x.encode() for x in find(w.decode())] for row in rows for w in row if w not in known}
-            ids = merger(list(dict.fromkeys(x for split in new.values() for x in split)))
-            for word, split in new.items():
-                known[word] = [i for x in split for i in ids[x]]
-            out = [[known[w] for w in row] for row in rows]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["block"], batch["places"],
-                    pa.array([_packed(np.array(list(map(len, row)))) for row in out], pa.binary()),
-                    pa.array([_packed(np.array([i for ids in row for i in ids])) for row in out], pa.binary()),
-                    pa.nulls(len(out), kind_of_id),
-                ],
-                ["block", "places", "sizes", "data", "doc_id"],
-            )
+            for k, now in enumerate(batch["part"].to_pylist()):
+                if now != part:  # sorted: no word of an earlier part comes again
+                    part, known = now, Known()
+                ends = np.cumsum(_unpacked(batch["sizes"][k].as_py())).tolist()
+                data = zstandard.decompress(batch["words"][k].as_py())
+                at = known.places([data[a:b] for a, b in zip([0, *ends], ends)], merger, find)
+                size, flat = known.ids(at)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["block"].slice(k, 1), batch["places"].slice(k, 1), pa.array([_packed(size)], pa.binary()),
+                        pa.array([_packed(flat)], pa.binary()), pa.nulls(1, kind_of_id),
+                    ],
+                    names,
+                )
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held, table = None, [], None
@@ -281,7 +320,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     kind_of_id = to_arrow_type(docs.schema["doc_id"].dataType)
     binary = "places binary, sizes binary"
-    by_part = docs.mapInArrow(words, f"part int, block long, {binary}, words binary").repartition(wide, "part")
+    by_part = docs.mapInArrow(words, f"part int, block long, {binary}, words binary").repartition(wide, "part").sortWithinPartitions("part")
     back = by_part.mapInArrow(encoded, f"block long, {binary}, data binary, doc_id {kind}")
     there = docs.mapInArrow(streams, f"block long, {binary}, data binary, doc_id {kind}")
     return (
