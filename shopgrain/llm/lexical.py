@@ -31,7 +31,7 @@ from shopgrain.llm.words import span_hashes, spans
 from shopgrain.llm.work import Work
 
 BLOCK_DOCUMENTS = 4096  # of a block; more blocks follow
-BLOCK_POINTS = 1 << 20
+BLOCK_POINTS = 1 << 18
 ITEMS_TOGETHER = 1000
 TERMS_TOGETHER = 100_000
 RANGES_TOGETHER = 128

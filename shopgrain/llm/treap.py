@@ -76,9 +76,9 @@ class Walker:
 
     def __init__(self, treap: Treap):
         self.height, self.mask, self.top = treap.height, treap.mask, treap.top
-        children = np.cumsum(_ONES[treap.mask], dtype=np.int64)
-        self.first = np.concatenate([[0], children])[:-1] + 1
-        self.leaf = np.cumsum(treap.mask == 0) - 1
+        ones = _ONES[treap.mask]
+        self.first = np.cumsum(ones, dtype=np.int32) - ones + 1
+        self.leaf = np.cumsum(treap.mask == 0, dtype=np.int32) - 1
         self.row, self.column = treap.row, treap.column
 
     def start(self, rows: np.ndarray) -> np.ndarray:
