@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,24 @@ def prepared(spark: SparkSession) -> SparkSession:
     return configure(spark)
 
 
+_works: list[Work] = []
+
+
+@contextlib.contextmanager
+def temporary() -> Iterator[None]:
+    """Tables that operators write inside the block go when it ends.
+
+    For results that are written before that; others would lose their input.
+    """
+    before = len(_works)
+    try:
+        yield
+    finally:
+        for work in _works[before:]:
+            work.clear()
+        del _works[before:]
+
+
 class Work:
     """Tables that an operator writes and reads again.
 
@@ -35,6 +54,8 @@ class Work:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self._paths: dict[int, str] = {}
+        self._held: dict[int, DataFrame] = {}
+        _works.append(self)
         atexit.register(self._end)
 
     def put(self, df: DataFrame, label: str) -> DataFrame:
@@ -44,7 +65,7 @@ class Work:
         stored = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(stored)] = path
         # The number identifies the table for as long as it is referenced here.
-        self._held = {**getattr(self, "_held", {}), id(stored): stored}
+        self._held[id(stored)] = stored
         return stored
 
     def bytes(self, stored: DataFrame) -> int:
@@ -60,6 +81,10 @@ class Work:
             if path:
                 remove(self.spark, path)
 
+    def clear(self) -> None:
+        self.drop(*self._held.values())
+        atexit.unregister(self._end)
+
     def _end(self) -> None:
         for path in self._paths.values():
             with contextlib.suppress(Exception):  # the session may be gone
