@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.llm import bpe, decontamination, line_dedup, near_duplicates, toxicity
-from shopgrain.llm.work import Work, prepared
+from shopgrain.llm.work import Work, prepared, temporary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -66,16 +66,21 @@ STAGES: list[tuple[str, Stage]] = [
     ("byte-level BPE", encode),
 ]
 
-# No SQL trains the classifier of the first stage; tests compare with brute force.
+# No SQL trains the classifier of the first stage.  The tests chain plain
+# counterparts of the stages on a small corpus.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each one's result is written and read again."""
+    """All stages over the documents; each one's result is written and read again.
+
+    What a stage keeps on disk goes as soon as its result is written.
+    """
     work = Work(spark)
     docs = before = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = work.put(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with temporary():
+            docs = work.put(stage(spark, docs, sf_dir), name.replace(" ", "-"))
         work.drop(before)
         before = docs
     return docs
