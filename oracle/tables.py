@@ -10,6 +10,11 @@ import re
 STAMP = "TIMESTAMP '2024-01-01 00:00:00'"
 
 
+def cells(x: str) -> str:
+    """Half up on the decimal digits that the number is written with."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE)"
+
+
 def r2(x: str) -> str:
     return f"(sign({x}) * floor(abs({x}) * 100e0 + 0.5e0) / 100e0 + 0e0)"
 

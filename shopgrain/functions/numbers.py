@@ -25,12 +25,29 @@ def _sums(amount: Column) -> Column:
 
 
 def units(amount: Column) -> Column:
-    """An amount to be added up in steps, exact; one that is not finite fails."""
-    return amount.cast("double").cast("decimal(28,10)")
+    """The finite part of an amount that is added up in steps, exact; see `not_finite`."""
+    amount = amount.cast("double")
+    return F.when(F.abs(amount) < _INFINITE, amount.cast("decimal(28,10)"))
+
+
+def not_finite(amount: Column) -> Column:
+    """The other part: an infinity or NaN, added up beside the units."""
+    amount = amount.cast("double")
+    return F.when(F.abs(amount) >= _INFINITE, amount)
 
 
-def from_units(total: Column) -> Column:
-    return total.cast("double")
+def from_units(total: Column, odd: Column | None = None) -> Column:
+    """The sum of both parts; any infinity or NaN among the amounts decides it."""
+    exact = total.cast("double")
+    return exact if odd is None else F.coalesce(odd, exact)
+
+
+def round_cells(x: Column) -> Column:
+    """Two decimals of a cell as it is written: 1.005 becomes 1.01.
+
+    Works on the shortest decimal form of the double, unlike `round2`.
+    """
+    return F.round(x, 2) + 0.0
 
 
 def round2(x: Column) -> Column:

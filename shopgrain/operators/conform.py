@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopgrain.functions.labels import review_sentiment
-from shopgrain.functions.numbers import round2
+from shopgrain.functions.numbers import round_cells
 from shopgrain.operators.clean import NULL_MARK
 from shopgrain.operators.dedup import first_per_key
 
@@ -105,7 +105,7 @@ def products(df: DataFrame) -> DataFrame:
     })
     length, height, width = map(F.col, sides)
     return typed.withColumn(
-        "product_volume_cm3", round2(length * height * width)
+        "product_volume_cm3", round_cells(length * height * width)
     )
 
 
@@ -152,7 +152,7 @@ def order_items(df: DataFrame) -> DataFrame:
         "shipping_limit_date": instant,
     })
     return typed.withColumn(
-        "total_item_value", round2(F.col("price") + F.col("freight_value"))
+        "total_item_value", round_cells(F.col("price") + F.col("freight_value"))
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopgrain.functions import dates
-from shopgrain.functions.numbers import from_units, percent, round2, units
+from shopgrain.functions.numbers import from_units, not_finite, percent, round2, units
 from shopgrain.operators.rollups import (
     order_facts,
     payment_totals,
@@ -27,6 +27,7 @@ ADDITIVE = [
     "delivered_orders",
     "canceled_orders",
     "paid_units",
+    "paid_odd",
     "paid_orders",
     "score_units",
     "scored_orders",
@@ -57,6 +58,7 @@ def customer_months(
             F.count_if("is_delivered").alias("delivered_orders"),
             F.count_if("is_canceled").alias("canceled_orders"),
             F.sum(units(paid)).alias("paid_units"),
+            F.sum(not_finite(paid)).alias("paid_odd"),
             F.count(paid).alias("paid_orders"),
             F.max(paid).alias("max_order_value"),
             F.sum(score).alias("score_units"),
@@ -125,7 +127,7 @@ def geo_sales_heatmap(tables: Mapping[str, DataFrame]) -> DataFrame:
             }
         )
     )
-    revenue = from_units(F.col("paid_units"))
+    revenue = from_units(F.col("paid_units"), F.col("paid_odd"))
     orders = F.col("total_orders")
     return places.select(
         *PLACE,

@@ -11,6 +11,7 @@ from shopgrain.functions import dates, labels
 from shopgrain.functions.numbers import (
     amount_avg,
     from_units,
+    not_finite,
     percent,
     round2,
     units,
@@ -20,7 +21,8 @@ from shopgrain.functions.numbers import (
 def monthly_payment_types(payments: DataFrame, orders: DataFrame) -> DataFrame:
     """Payments per type and month of sale, before labels and shares.
 
-    `value_units` is the exact sum, kept whole for the share of the month.
+    `value_units` is the exact sum, kept whole for the share of the month;
+    `value_odd` holds what is infinite or no number.
     """
     status = F.col("order_status")
     months = orders.select(
@@ -41,6 +43,7 @@ def monthly_payment_types(payments: DataFrame, orders: DataFrame) -> DataFrame:
             F.count_distinct("order_id").alias("total_orders"),
             F.count("payment_sequential").alias("total_payment_parts"),
             F.sum(units(value)).alias("value_units"),
+            F.sum(not_finite(value)).alias("value_odd"),
             round2(amount_avg(value)).alias("avg_payment_value"),
             round2(F.min(value)).alias("min_payment_value"),
             round2(F.max(value)).alias("max_payment_value"),
@@ -60,12 +63,13 @@ def month_total() -> Column:
     Taken over the grouped rows, a handful per month, so neither the payments
     nor the join is repeated.
     """
-    whole = F.sum("value_units").over(Window.partitionBy("month"))
-    return F.when(F.col("month").isNotNull(), round2(from_units(whole)))
+    month = Window.partitionBy("month")
+    whole = from_units(F.sum("value_units").over(month), F.sum("value_odd").over(month))
+    return F.when(F.col("month").isNotNull(), round2(whole))
 
 
 def payment_analysis(tables: Mapping[str, DataFrame]) -> DataFrame:
-    value = from_units(F.col("value_units"))
+    value = from_units(F.col("value_units"), F.col("value_odd"))
     return (
         monthly_payment_types(tables["order_payments"], tables["orders"])
         .withColumn("month_total", month_total())
