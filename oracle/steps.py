@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.reports import CUSTOMER, CYCLE, DELAY, PARTS, SHIPPING, calendar
-from oracle.tables import STAMP, STAR, big, cents, mean, r2, with_tables
+from oracle.tables import STAMP, STAR, big, cells, cents, mean, r2, with_tables
 from shopgrain.schemas import TABLES
 
 DAY = "DATE '1997-06-15'"
@@ -71,8 +71,8 @@ CASING = {
     "seller_postal_code": lambda c: f"lpad({c}, 5, '0')",
 }
 DERIVED = {
-    "order_items": f", {r2('(price + freight_value)')} AS total_item_value",
-    "products": f", {r2('(product_length_cm * product_height_cm * product_width_cm)')} AS product_volume_cm3",
+    "order_items": f", {cells('(price + freight_value)')} AS total_item_value",
+    "products": f", {cells('(product_length_cm * product_height_cm * product_width_cm)')} AS product_volume_cm3",
     "order_reviews": ", CASE WHEN review_score > 3 THEN 'positive' WHEN review_score = 3 THEN 'neutral' ELSE 'negative' END"
     " AS review_sentiment",
 }
@@ -256,11 +256,22 @@ STEP_SQL = {
         r_first=FIRST_LINES,
         r_returns=RETURNS,
     ),
+    "fact_day_reload": _sql(
+        f"""SELECT {LINE_COLUMNS} FROM r_first WHERE sale_date IS DISTINCT FROM {DAY}
+        UNION ALL SELECT {LINE_COLUMNS} FROM r_returns""",
+        r_first=FIRST_LINES,
+        r_returns=RETURNS,
+    ),
     "dimension_upsert": UPSERTED,
     "dimension_load": UPSERTED,
     "latest_success": _sql(
         "SELECT * FROM r_audit WHERE status = 'success' ORDER BY load_timestamp DESC LIMIT 1", r_audit=AUDIT_ROWS
     ),
+    "audit_history": _sql(
+        """SELECT * REPLACE (load_timestamp + CASE status WHEN 'failed' THEN INTERVAL 10 MINUTE ELSE INTERVAL 0 MINUTE END AS load_timestamp,
+        'success' AS status) FROM r_audit""",
+        r_audit=AUDIT_ROWS,
+    ),
     "freshness_status": _sql(
         f"""SELECT CASE WHEN status <> 'success' THEN 'failed' WHEN age_hours > 25 THEN 'stale' ELSE 'fresh' END AS outcome,
         status, age_hours FROM (SELECT status, (epoch_us({NOW}) - epoch_us(load_timestamp)) / 3.6e9 AS age_hours

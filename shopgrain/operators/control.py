@@ -22,16 +22,29 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
     if not files.children(spark, path):
         return spark.createDataFrame([], LOAD_AUDIT_SCHEMA)
     stored = spark.read.schema(LOAD_AUDIT_SCHEMA).parquet(path)
-    return stored.select(LOAD_AUDIT_SCHEMA.names)
+    return last_of_each_run(stored.select(LOAD_AUDIT_SCHEMA.names))
+
+
+def last_of_each_run(audit: DataFrame) -> DataFrame:
+    """The newest row of each run; its other columns decide between equal stamps.
+
+    Rows are only ever appended, which two writers may do at once, and a run
+    that is recorded again counts once.
+    """
+    run = ["dag_id", "run_id"]
+    rest = [c for c in LOAD_AUDIT_SCHEMA.names if c not in [*run, "load_timestamp"]]
+    newest = F.max(F.struct("load_timestamp", *rest)).alias("newest")
+    return audit.groupBy(*run).agg(newest).select(*run, "newest.*").select(LOAD_AUDIT_SCHEMA.names)
 
 
 def ensure_audit(spark: SparkSession, path: str) -> None:
     """Create the empty audit table where there is none."""
     if not files.children(spark, path):
-        _append(spark.createDataFrame([], LOAD_AUDIT_SCHEMA), path)
+        append(spark.createDataFrame([], LOAD_AUDIT_SCHEMA), path)
 
 
-def _append(rows: DataFrame, path: str) -> None:
+def append(rows: DataFrame, path: str) -> None:
+    """Add audit rows; those of a run that is already there take its place in `read_audit`."""
     by_day = rows.withColumn("load_day", F.to_date("load_timestamp"))
     by_day.write.mode("append").partitionBy("load_day").parquet(path)
 
@@ -53,9 +66,10 @@ def record_load(
     now: dt.datetime | None = None,
     notes: str | None = None,
 ) -> None:
-    """Append one audit row that points back at the last good load."""
+    """Append one audit row that points back at the last good load of another run."""
     now = now or dt.datetime.now(dt.timezone.utc)
-    previous = latest(read_audit(spark, path), only_success=True).first()
+    own = F.col("dag_id").eqNullSafe(F.lit(dag_id)) & F.col("run_id").eqNullSafe(F.lit(run_id))
+    previous = latest(read_audit(spark, path).where(~own), only_success=True).first()
     if notes is None:
         notes = f"{logical_date}: {files_loaded} files, finished {now:%Y-%m-%dT%H:%M:%SZ}"
     row = (
@@ -63,7 +77,7 @@ def record_load(
         previous.load_timestamp if previous else None,
         files_loaded, status, notes,
     )
-    _append(spark.createDataFrame([row], LOAD_AUDIT_SCHEMA), path)
+    append(spark.createDataFrame([row], LOAD_AUDIT_SCHEMA), path)
 
 
 def freshness(
