@@ -15,13 +15,14 @@ from shopgrain.session import configure
 BROADCAST_BYTES = 32 << 20
 
 
-def prepared(spark: SparkSession) -> SparkSession:
+def prepared(spark: SparkSession, rows: int = 1000, size: int = 16 << 20) -> SparkSession:
     """The session with the package's settings and small batches for Python.
 
-    Texts may be long; a batch of rows must fit a worker several times over.
+    Texts may be long; a batch of at most so many rows and bytes must fit a
+    worker several times over.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     return configure(spark)
 
 
