@@ -38,6 +38,11 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def remove_if_empty(spark: SparkSession, path: str) -> None:
+    if exists(spark, path) and not children(spark, path):
+        remove(spark, path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing else writes there."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -1,10 +1,11 @@
 """Loading cleaned batches into the fact and dimension tables.
 
 The first half holds pure DataFrame steps; the second half applies them to
-Parquet directories.  Facts are laid out by `sale_date` and only the days a
-batch touches are rewritten.  Dimensions are rewritten as a new snapshot
-directory beside the old one, and readers take the newest complete snapshot,
-so a lost job leaves the previous state readable.
+Parquet directories.  Facts are laid out by `sale_date`; the days a batch
+touches are written anew beside the old ones and published together (see
+`states`).  Dimensions are rewritten as a new snapshot directory beside the
+old one, and readers take the newest complete snapshot.  Either way a lost job
+leaves the previous state readable.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from shopgrain import files
 from shopgrain.files import Scratch
+from shopgrain.operators import states
 from shopgrain.operators.dedup import keep_latest
 from shopgrain.schemas import TABLES, Table
 
@@ -111,11 +113,13 @@ def drop_staging(spark: SparkSession, name: str) -> None:
 
 
 def read_fact(spark: SparkSession, table: Table, path: str) -> DataFrame:
-    """Current rows; a filter on sale_date opens only those directories."""
-    if not files.children(spark, path):
-        return spark.createDataFrame([], table.schema)
-    stored = spark.read.schema(table.schema).parquet(path)
-    return stored.select(table.schema.names)
+    """Rows of the newest state; a filter on sale_date opens only those days.
+
+    The state is taken when this is called: what a later load publishes does
+    not show in it.
+    """
+    path = path.rstrip("/")
+    return states.read_days(spark, table, path, states.read_state(spark, path).days)
 
 
 def _days_of(df: DataFrame) -> set[dt.date | None]:
@@ -123,91 +127,90 @@ def _days_of(df: DataFrame) -> set[dt.date | None]:
     return {r.sale_date for r in df.select("sale_date").distinct().toLocalIterator()}
 
 
-def _on_days(days: set[dt.date | None]) -> Column:
-    known = [d for d in days if d is not None]
-    cond = F.col("sale_date").isin(known) if known else F.lit(False)
-    return cond | F.col("sale_date").isNull() if None in days else cond
-
-
 def _tasks(spark: SparkSession, size: int, days: int) -> int:
     """Write tasks: enough for the bytes, more where many days are small."""
     by_days = min(days, spark.sparkContext.defaultParallelism)
     return max(1, by_days, math.ceil(size / BYTES_PER_TASK))
 
 
-def _write_days(df: DataFrame, path: str, keys: list[str], tasks: int) -> None:
-    """Write by day in even tasks, replacing the days that `df` holds.
-
-    Ranges over (day, key) keep a day in few files and still cut one that
-    holds a large share of the rows; files are sorted by key for skipping.
-    """
-    order = ["sale_date", *keys]
-    (
-        df.repartitionByRange(tasks, *order)
-        .sortWithinPartitions(*order)
-        .write.partitionBy("sale_date")
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
+def _publish(
+    spark: SparkSession,
+    table: Table,
+    path: str,
+    state: states.State,
+    rows: DataFrame,
+    touched: set[dt.date | None],
+    batch: DataFrame,
+    known: DataFrame | None,
+    size: int,
+    keep: int,
+) -> None:
+    """Make `rows` the content of the touched days and publish that."""
+    load = states.new_load()
+    stored = [states.day_dir(path, d, state.days[d]) for d in touched if d in state.days]
+    total = size + sum(files.size(spark, folder) for folder in stored)
+    states.write_days(rows, path, load, list(table.key), _tasks(spark, total, len(touched)))
+    days = {day: there for day, there in state.days.items() if day not in touched}
+    for day in touched:
+        if files.exists(spark, states.day_dir(path, day, load)):
+            days[day] = load
+    keys = states.index_batch(
+        spark, table, path, state, batch, known, load, _tasks(spark, size, 1)
     )
+    number = states.next_number(spark, path)
+    states.commit(spark, path, states.State(number, days, keys), keep)
 
 
-def _day_dir(path: str, day: dt.date | None) -> str:
-    value = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
-    return f"{path.rstrip('/')}/sale_date={value}"
-
-
-def load_fact(spark: SparkSession, table: Table, path: str, batch: DataFrame) -> None:
+def load_fact(
+    spark: SparkSession, table: Table, path: str, batch: DataFrame, keep: int = 1
+) -> None:
     """Merge a batch on the table key; loading it again changes nothing.
 
     Rewritten are the days the batch falls on and the days where its keys were
-    before.  Those are found from the key columns alone; the rows of all other
-    days are neither read nor written.
+    before, as the key index tells.  All other days are neither read nor
+    written.  With `keep=2` those who read the state before are not disturbed;
+    its folders go with the load after this one.
     """
-    keys = list(table.key)
+    path, keys = path.rstrip("/"), list(table.key)
     with Scratch(spark) as scratch:
         batch, size = scratch.written(batch, f"{table.name}-batch")
-        new_days = _days_of(batch)
-        if not new_days:
-            return
-        if not files.children(spark, path):
-            _write_days(batch, path, keys, _tasks(spark, size, len(new_days)))
+        touched = _days_of(batch)
+        if not touched:
             return
-        existing = read_fact(spark, table, path)
-        incoming = batch.select(keys)
-        seen_before = existing.select(*keys, "sale_date").join(
-            incoming, _same_key(existing, incoming, keys, True), "left_semi"
+        state = states.read_state(spark, path)
+        known = None
+        if state.keys:
+            known, _ = scratch.written(
+                states.known_keys(spark, table, path, state, batch), f"{table.name}-known"
+            )
+            touched |= _days_of(known) & set(state.days)
+        old = states.read_days(
+            spark, table, path, {d: load for d, load in state.days.items() if d in touched}
         )
-        touched = new_days | _days_of(seen_before)
-        merged, size = scratch.written(
-            upsert(existing.where(_on_days(touched)), batch, keys, True),
-            f"{table.name}-days",
-        )
-        filled = _days_of(merged)
-        _write_days(merged, path, keys, _tasks(spark, size, len(filled)))
-        for day in touched - filled:
-            files.remove(spark, _day_dir(path, day))
+        rows = upsert(old, batch, keys, True)
+        _publish(spark, table, path, state, rows, touched, batch, known, size, keep)
 
 
 def load_fact_day(
-    spark: SparkSession, table: Table, path: str, batch: DataFrame, day: dt.date
+    spark: SparkSession, table: Table, path: str, batch: DataFrame, day: dt.date,
+    keep: int = 1,
 ) -> None:
     """Replace one day by the batch and add the batch's other days as they are.
 
     This is the plain delete-and-insert load: a repeated run doubles the other
     days, which `load_fact` avoids.
     """
+    path = path.rstrip("/")
     with Scratch(spark) as scratch:
-        batch, _ = scratch.written(batch, f"{table.name}-batch")
-        others = read_fact(spark, table, path).where(_on_days(_days_of(batch)))
-        rows, size = scratch.written(
-            replace_day(others, batch, day), f"{table.name}-days"
+        batch, size = scratch.written(batch, f"{table.name}-batch")
+        state = states.read_state(spark, path)
+        touched = _days_of(batch) | {day}
+        old = states.read_days(
+            spark, table, path, {d: load for d, load in state.days.items() if d in touched}
         )
-        days = _days_of(rows)
-        # Written first: a failing write leaves the old day as it was.
-        _write_days(rows, path, list(table.key), _tasks(spark, size, len(days)))
-        if day not in days:
-            files.remove(spark, _day_dir(path, day))
+        rows = replace_day(old, batch, day)
+        known = states.known_keys(spark, table, path, state, batch) if state.keys else None
+        _publish(spark, table, path, state, rows, touched, batch, known, size, keep)
 
 
 def _snapshots(spark: SparkSession, path: str) -> list[str]:
