@@ -219,11 +219,16 @@ def _snapshots(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if files.exists(spark, f"{path}/{n}/_SUCCESS")]
 
 
-def read_dimension(spark: SparkSession, table: Table, path: str) -> DataFrame:
+def newest_snapshot(spark: SparkSession, path: str) -> str | None:
     done = _snapshots(spark, path)
-    if not done:
+    return f"{path}/{done[-1]}" if done else None
+
+
+def read_dimension(spark: SparkSession, table: Table, path: str) -> DataFrame:
+    newest = newest_snapshot(spark, path)
+    if newest is None:
         return spark.createDataFrame([], table.schema)
-    return spark.read.schema(table.schema).parquet(f"{path}/{done[-1]}")
+    return spark.read.schema(table.schema).parquet(newest)
 
 
 def load_dimension(
