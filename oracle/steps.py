@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.reports import CUSTOMER, CYCLE, DELAY, PARTS, SHIPPING, calendar
+from oracle.reports import CUSTOMER, CYCLE, DELAY, ORDER_SUMMARY, PARTS, SHIPPING, calendar
 from oracle.tables import STAMP, STAR, big, cells, cents, mean, r2, with_tables
 from shopgrain.schemas import TABLES
 
@@ -120,6 +120,12 @@ SELLER_CUSTOMERS = """
          seller_postal_code AS customer_postal_code, seller_city AS customer_city, seller_country AS customer_country,
          country_code AS customer_country_code, CAST(NULL AS BIGINT) AS age, 'NA' AS gender, etl_timestamp
   FROM s_sellers"""
+FACT_LOADED = _sql(
+    f"""SELECT {LINE_COLUMNS} FROM r_first WHERE order_item_id <> 1 OR order_id NOT IN (SELECT order_id FROM s_orders)
+    UNION ALL SELECT {LINE_COLUMNS} FROM r_returns""",
+    r_first=FIRST_LINES,
+    r_returns=RETURNS,
+)
 UPSERTED = _sql(
     """
 SELECT * FROM s_customers c WHERE NOT EXISTS (SELECT 1 FROM r_batch b WHERE b.customer_trx_id = c.customer_trx_id)
@@ -152,6 +158,44 @@ OVER_VIEWS = f"""
 SELECT customer_country, customer_segment, count(*) AS customers, max(lifetime_value) AS best_value
 FROM ({CUSTOMER}) GROUP BY ALL"""
 
+# Facts of each raw file: columns, and which rows have unreadable dates or blank keys.
+RAW_WIDTH = {
+    "orders": 8, "order_items": 7, "order_payments": 5, "order_reviews": 7, "customers": 10, "sellers": 6, "products": 6,
+    "geolocations": 5,
+}
+
+
+def _read_report() -> str:
+    parts = []
+    for i, (name, width) in enumerate(RAW_WIDTH.items()):
+        bad = f"count(*) FILTER (order_id LIKE '%7%' AND order_purchase_timestamp IS NOT NULL)" if name == "orders" else "0"
+        blank = "count(*) FILTER (order_id LIKE '%7%')" if name == "order_payments" else "0"
+        parts.append(
+            f"SELECT '{name}' AS table_name, count(*) AS rows, {big(width)} AS columns, {big(bad)} AS bad_dates,"
+            f" {big(blank)} AS missing_keys FROM ({raw_cte(name)})"
+        )
+    return _sql(" UNION ALL ".join(parts))
+
+
+def _source_check() -> str:
+    rows = [f"SELECT 'products' AS table_name, 'empty' AS outcome, {big(0)} AS row_count",
+            f"SELECT 'sellers', 'absent', {big('NULL')}"]
+    for name in RAW_WIDTH:
+        if name not in ("products", "sellers"):
+            source = "s_points" if name == "geolocations" else STAR[name]
+            rows.append(f"SELECT '{name}', 'ready', count(*) FROM {source}")
+    return _sql(" UNION ALL ".join(rows))
+
+
+STRICT = _sql(f"""
+SELECT order_id, nullif(customer_trx_id, 'NA') AS customer_trx_id, order_status,
+       CASE CAST(order_id AS BIGINT) % 5 WHEN 0 THEN order_purchase_timestamp
+         WHEN 1 THEN date_trunc('minute', order_purchase_timestamp) WHEN 4 THEN NULL
+         ELSE date_trunc('day', order_purchase_timestamp) END AS order_purchase_timestamp,
+       order_approved_at, order_delivered_carrier_date, order_delivered_customer_date, order_estimated_delivery_date,
+       {STAMP} AS etl_timestamp
+FROM s_orders""")
+
 # -------------------------------------------------------------------- control
 
 AUDIT_ROWS = """
@@ -250,9 +294,18 @@ STEP_SQL = {
         f"SELECT {LINE_COLUMNS} FROM s_lines WHERE sale_date <> {DAY} UNION ALL SELECT {LINE_COLUMNS} FROM r_returns",
         r_returns=RETURNS,
     ),
-    "fact_load": _sql(
-        f"""SELECT {LINE_COLUMNS} FROM r_first WHERE order_item_id <> 1 OR order_id NOT IN (SELECT order_id FROM s_orders)
-        UNION ALL SELECT {LINE_COLUMNS} FROM r_returns""",
+    "fact_load": FACT_LOADED,
+    "read_report": _read_report(),
+    "source_check": _source_check(),
+    "strict_cleaning": STRICT,
+    "views_after_reload": ORDER_SUMMARY,
+    "catalog_dimension": UPSERTED,
+    "catalog_fact": FACT_LOADED,
+    "read_during_load": _sql(
+        f"""SELECT {LINE_COLUMNS}, 'before' AS reader FROM r_first
+        UNION ALL SELECT {LINE_COLUMNS}, 'after' AS reader FROM r_first
+        WHERE order_item_id <> 1 OR order_id NOT IN (SELECT order_id FROM s_orders)
+        UNION ALL SELECT {LINE_COLUMNS}, 'after' AS reader FROM r_returns""",
         r_first=FIRST_LINES,
         r_returns=RETURNS,
     ),

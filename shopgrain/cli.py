@@ -25,6 +25,10 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("warehouse")
     load.add_argument("day")
 
+    show = commands.add_parser("publish", help="catalog tables and views of a warehouse")
+    show.add_argument("warehouse")
+    show.add_argument("database")
+
     audit = commands.add_parser("audit", help="row counts after a load")
     audit.add_argument("warehouse")
     audit.add_argument("day", type=dt.date.fromisoformat)
@@ -48,6 +52,8 @@ def main(argv: list[str] | None = None) -> None:
         pipeline.clean_to(spark, args.table, args.source, args.output)
     elif args.command == "load":
         pipeline.load_day(spark, args.zone, args.warehouse, args.day)
+    elif args.command == "publish":
+        print("\n".join(pipeline.publish(spark, args.warehouse, args.database)))
     elif args.command == "audit":
         tables = pipeline.open_tables(spark, args.warehouse)
         control.load_audit(tables, args.day).show(truncate=False)

@@ -20,6 +20,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def found(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or any match of a path with wildcards, is there."""
+    fs, jpath = _at(spark, pattern)
+    hits = fs.globStatus(jpath)
+    return hits is not None and len(hits) > 0
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names below a directory, sorted; empty where there is none."""
     fs, jpath = _at(spark, path)

@@ -7,20 +7,24 @@ files, so that it can be compared with SQL.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.files import scratch_path
 from shopgrain.functions import labels
-from shopgrain.operators import clean, conform, control, load, rollups
+from shopgrain import pipeline
+from shopgrain.files import scratch_path
+from shopgrain.operators import catalog, clean, conform, control, load, rollups
 from shopgrain.operators.dedup import keep_latest
 from shopgrain.pipeline import clean_table
 from shopgrain.plans import daily_sales_performance, register_views
+from shopgrain.plans.lasting import create_views
 from shopgrain.plans.order_summary import order_columns
 from shopgrain.schemas import LOAD_AUDIT_SCHEMA, TABLES
 from shopgrain.session import configure
+from shopgrain.sources import gate
 from shopgrain.sources.delimited import read_delimited
 from shopgrain.sources.parquet import day_path, read_staging, write_day
 from shopgrain.sources.testdata import STAMP, SalesTables, as_raw_text
@@ -109,6 +113,52 @@ def sql_over_views(t: SalesTables) -> DataFrame:
 # ------------------------------------------------------------------- cleaning
 
 
+def _with_faults(t: SalesTables, name: str) -> DataFrame:
+    """Text of a table where some dates cannot be read and some keys are blank."""
+    raw = _raw(t, name)
+    seven = F.col(TABLES[name].key[0]).like("%7%")
+    if name == "orders":
+        when = F.col("order_purchase_timestamp")
+        return raw.withColumn("order_purchase_timestamp", F.when(seven, F.concat(F.lit("week "), when)).otherwise(when))
+    if name == "order_payments":
+        key = F.col("payment_sequential")
+        return raw.withColumn("payment_sequential", F.when(seven, "none").otherwise(key))
+    return raw
+
+
+@step
+def read_report(t: SalesTables) -> DataFrame:
+    """What cleaning all eight files side by side saw in its one scan of each."""
+    spark = t["orders"].sparkSession
+    sources = {name: _as_file(_with_faults(t, name), ";") for name in TABLES}
+    reports = pipeline.clean_reports(spark, sources, scratch_path(spark, "processed"), "2024-01-01", STAMP)
+    return pipeline.read_report(spark, reports)
+
+
+@step
+def source_check(t: SalesTables) -> DataFrame:
+    """Six sources with rows, one with a header only, one that is not there."""
+    spark = t["orders"].sparkSession
+    sources = {name: _as_file(_raw(t, name), "|") for name in TABLES if name not in ("products", "sellers")}
+    sources["products"] = _as_file(_raw(t, "products").limit(0), "|")
+    sources["sellers"] = scratch_path(spark, "nothing")
+    return gate.source_check(spark, sources, TABLES)
+
+
+@step
+def strict_cleaning(t: SalesTables) -> DataFrame:
+    """Orders with control characters, blanks and dates in five forms, cleaned strictly."""
+    spark = t["orders"].sparkSession
+    when = F.col("order_purchase_timestamp")
+    noisy = t["orders"].select(
+        [F.col(c).cast("string").alias(c) for c in TABLES["orders"].source_columns]
+    ).withColumns({
+        "order_status": F.concat(F.lit(" \x07"), F.upper("order_status"), F.lit("\t \x1f")),
+        "order_purchase_timestamp": _dates_as_text(when.cast("timestamp")),
+    })
+    return pipeline.clean_table(spark, "orders", _as_file(noisy, ";"), STAMP, how=pipeline.STRICT)
+
+
 @step
 def clean_strings(t: SalesTables) -> DataFrame:
     return clean.trim_strings(_raw(t, "customers"))
@@ -159,18 +209,22 @@ def orphan_flags(t: SalesTables) -> DataFrame:
     return clean.flag_orphans(few, t["orders"], "order_id")
 
 
-@step
-def multi_format_dates(t: SalesTables) -> DataFrame:
-    """Purchase times as four kinds of text, one of them unreadable."""
-    when = F.col("order_purchase_timestamp")
+def _dates_as_text(when: Column) -> Column:
+    """Times as four kinds of text, one order in five unreadable."""
     turn = F.col("order_id").cast("long") % 5
-    text = (
+    return (
         F.when(turn == 0, F.date_format(when, "yyyy-MM-dd HH:mm:ss"))
         .when(turn == 1, F.date_format(when, "dd/MM/yyyy HH:mm"))
         .when(turn == 2, F.date_format(when, "yyyyMMdd"))
         .when(turn == 3, F.date_format(when, "MMM d, yyyy"))
         .otherwise(F.concat(F.lit("week "), F.date_format(when, "D")))
     )
+
+
+@step
+def multi_format_dates(t: SalesTables) -> DataFrame:
+    """Purchase times as four kinds of text, one of them unreadable."""
+    text = _dates_as_text(F.col("order_purchase_timestamp"))
     texts = t["orders"].select("order_id", text.alias("bought_at"))
     return clean.parse_timestamps(texts, ["bought_at"], DATE_FORMATS)
 
@@ -253,6 +307,68 @@ def fact_day_reload(t: SalesTables) -> DataFrame:
     return load.read_fact(spark, table, path)
 
 
+@step
+def read_during_load(t: SalesTables) -> DataFrame:
+    """Rows of a reader that began before a load, and of one that began after it."""
+    table = TABLES["order_items"]
+    spark = t["orders"].sparkSession
+    path = scratch_path(spark, "fact-read")
+    lines = keep_latest(t.item_lines(), list(table.key)).select(table.schema.names)
+    load.load_fact(spark, table, path, lines, keep=2)
+    before = load.read_fact(spark, table, path)
+    load.load_fact(spark, table, path, _returns(t).select(table.schema.names), keep=2)
+    after = load.read_fact(spark, table, path)
+    return before.withColumn("reader", F.lit("before")).unionByName(after.withColumn("reader", F.lit("after")))
+
+
+def _database(spark: SparkSession) -> str:
+    name = f"shopgrain_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    return name
+
+
+@step
+def catalog_fact(t: SalesTables) -> DataFrame:
+    """The fact load as a catalog table, published after each batch."""
+    table = TABLES["order_items"]
+    spark = t["orders"].sparkSession
+    path, name = scratch_path(spark, "fact-table"), f"{_database(spark)}.order_items"
+    lines = keep_latest(t.item_lines(), list(table.key))
+    for batch in (lines, _returns(t)):
+        load.load_fact(spark, table, path, batch.select(table.schema.names), keep=2)
+        catalog.publish_table(spark, table, name, path)
+    return spark.table(name)
+
+
+@step
+def catalog_dimension(t: SalesTables) -> DataFrame:
+    """The dimension load as a catalog table, published after each batch."""
+    table = TABLES["customers"]
+    spark = t["customers"].sparkSession
+    path, name = scratch_path(spark, "dimension-table"), f"{_database(spark)}.customers"
+    for staged in (t["customers"], _seller_customers(t)):
+        load.load_dimension(spark, table, path, load.dimension_batch(table, staged))
+        catalog.publish_table(spark, table, name, path)
+    return spark.table(name)
+
+
+@step
+def views_after_reload(t: SalesTables) -> DataFrame:
+    """Stored views made after the first of two loads, read in another session."""
+    spark = t["orders"].sparkSession
+    house, database = scratch_path(spark, "house"), _database(spark)
+    for late in (False, True):
+        for name in ("orders", "order_items", "order_payments"):
+            table = TABLES[name]
+            rows = t[name].select(table.schema.names)
+            batch = rows if late else rows.where("order_id LIKE '%1'")
+            load.load_fact(spark, table, f"{house}/{name}", batch, keep=2)
+        catalog.publish_all(spark, house, database)
+        if not late:
+            create_views(spark, database)
+    return configure(spark.newSession()).table(f"{database}.vw_order_summary")
+
+
 def _seller_customers(t: SalesTables) -> DataFrame:
     """Sellers as a batch of customers: known keys change, others are new."""
     key = F.col("seller_id")
