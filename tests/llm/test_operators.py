@@ -326,6 +326,45 @@ def test_context_mixing(docs):
     assert context_mixing.score(docs([]), learns).count() == 0
 
 
+def test_kinds_come_from_all_texts(docs):
+    # More texts than the sample once held; one in forty is of other bytes, and they count as often as they are there.
+    rows = [(k, "XYZ Q0 17" if k % 40 == 0 else prose(k % 7, 6)) for k in range(4_800)]
+    whole = context_mixing.find_kinds(docs(rows))
+    data = [np.frombuffer(t.encode(), np.uint8) for _, t in rows]
+    near = (np.array([context_mixing.profile(d) for d in data]) @ whole.T).argmax(1)
+    assert len(set(near[::40])) == 1 and near[0] not in set(np.delete(near, np.arange(0, len(rows), 40)))
+    # Every centre is the mean of all the rows nearest to it.
+    exact = np.rint(context_mixing.UNIT * np.array([context_mixing.profile(d) for d in data]))
+    for kind in set(near.tolist()):
+        mean = exact[near == kind].sum(0)
+        assert np.allclose(whole[kind], mean / np.sqrt((mean * mean).sum()))
+    assert np.array_equal(whole, context_mixing.find_kinds(docs(rows[::-1]).repartition(7)))
+    assert not context_mixing.find_kinds(docs([(1, None)])).any()
+
+
+def test_speller_learns_from_all_words(spark):
+    words = [prose(k, 1).strip(".").encode() + str(k).encode() for k in range(900)]
+    table = context_mixing.counted(words)
+    rows = []
+    for part in range(3):
+        mine = words[part::3]
+        data, sizes = context_mixing._join([b"\x00" + w for w in mine])
+        rows.append((part, data, sizes, context_mixing._packed(np.ones(len(mine), np.int64))))
+    packed = spark.createDataFrame(rows, "part int, words binary, sizes binary, times binary")
+    shared = spark.sparkContext.broadcast(table)
+    weights, line = context_mixing.spelling_weights(packed, shared)
+    fewer, _ = context_mixing.spelling_weights(packed.where("part < 2"), shared)
+    assert not np.allclose(weights, fewer)
+    # One part alone learns as the plain loop does.
+    alone = context_mixing._join([b"\x00" + w for w in words])
+    one = spark.createDataFrame([(0, *alone, context_mixing._packed(np.ones(len(words), np.int64)))], packed.schema)
+    order = sorted(words, key=lambda w: (context_mixing.xxhash.xxh32_intdigest(w, 5), w))
+    plain = context_mixing.spelling_mixer(table, order)
+    got = context_mixing.spelling_weights(one, shared)
+    assert np.allclose(got[0], plain.weights) and np.allclose(got[1], plain.refined)
+    assert line.shape == got[1].shape and not np.array_equal(line, got[1])
+
+
 def test_speller_is_a_distribution():
     words = [b"abc", b"abd", b"b"] * 3
     table = context_mixing.counted(words)
