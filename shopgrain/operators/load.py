@@ -22,7 +22,9 @@ from shopgrain.operators import states
 from shopgrain.operators.dedup import keep_latest
 from shopgrain.schemas import TABLES, Table
 
-BYTES_PER_TASK = 256 * 1024 * 1024
+# Parquet that one task sorts and writes.  In memory it is some ten times as
+# large, and a sort that fits there is not spilled.
+BYTES_PER_TASK = 64 * 1024 * 1024
 
 # --------------------------------------------------------------- DataFrames
 
@@ -127,10 +129,10 @@ def _days_of(df: DataFrame) -> set[dt.date | None]:
     return {r.sale_date for r in df.select("sale_date").distinct().toLocalIterator()}
 
 
-def _tasks(spark: SparkSession, size: int, days: int) -> int:
-    """Write tasks: enough for the bytes, more where many days are small."""
-    by_days = min(days, spark.sparkContext.defaultParallelism)
-    return max(1, by_days, math.ceil(size / BYTES_PER_TASK))
+def _tasks(spark: SparkSession, size: int, folders: int) -> int:
+    """Write tasks: enough for the bytes, more where many folders (days, buckets) are small."""
+    by_folders = min(folders, spark.sparkContext.defaultParallelism)
+    return max(1, by_folders, math.ceil(size / BYTES_PER_TASK))
 
 
 def _publish(
@@ -155,7 +157,7 @@ def _publish(
         if files.exists(spark, states.day_dir(path, day, load)):
             days[day] = load
     keys = states.index_batch(
-        spark, table, path, state, batch, known, load, _tasks(spark, size, 1)
+        spark, table, path, state, batch, known, load, _tasks(spark, size, states.KEY_BUCKETS)
     )
     number = states.next_number(spark, path)
     states.commit(spark, path, states.State(number, days, keys), keep)
@@ -184,10 +186,10 @@ def load_fact(
                 states.known_keys(spark, table, path, state, batch), f"{table.name}-known"
             )
             touched |= _days_of(known) & set(state.days)
-        old = states.read_days(
-            spark, table, path, {d: load for d, load in state.days.items() if d in touched}
-        )
-        rows = upsert(old, batch, keys, True)
+        there = {d: load for d, load in state.days.items() if d in touched}
+        rows = batch
+        if there:
+            rows = upsert(states.read_days(spark, table, path, there), batch, keys, True)
         _publish(spark, table, path, state, rows, touched, batch, known, size, keep)
 
 

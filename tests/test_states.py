@@ -30,6 +30,16 @@ def test_reader_keeps_the_state_it_began_with(spark, make, tmp_path):
     assert not (tmp_path / "orders" / "sale_date=2020-01-01").exists()
 
 
+def test_key_index_is_written_by_many_tasks(spark, make, tmp_path):
+    path = tmp_path / "orders"
+    rows = [_order(str(k), D1) for k in range(400)]
+    load.load_fact(spark, ORDERS, str(path), make("orders", *rows))
+    parts = list((path / "keys").glob("load=*/bucket=*/part-*.parquet"))
+    assert len({p.name.split("-")[1] for p in parts}) > 1  # one task for a batch of any size, before
+    assert len(parts) == len({p.parent for p in parts})  # a bucket is still one file
+    assert load.read_fact(spark, ORDERS, str(path)).count() == 400
+
+
 @pytest.mark.parametrize("broken", ["write_days", "index_batch", "commit"])
 @pytest.mark.parametrize("by_day", [False, True])
 def test_failed_load_leaves_the_old_state(spark, make, tmp_path, monkeypatch, broken, by_day):
