@@ -27,7 +27,6 @@ BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
 RANK = 128
 EXTRA = 16
-SAMPLE_DOCUMENTS = 2_000  # the latent space is fitted to passages of so many, and to all items
 WINDOW = 48
 STRIDE = 16
 COSINE = 0.3
@@ -66,8 +65,24 @@ def bucket_weights(docs: DataFrame) -> np.ndarray:
     return weight
 
 
-def _passages(words: np.ndarray) -> list[np.ndarray]:
-    return [words[k : k + WINDOW] for k in range(0, max(len(words) - WINDOW // 2, 1), WINDOW) if len(words)]
+def _passages(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of many passages' words, and which passage each word is of."""
+    step = _PIECE // WINDOW * WINDOW
+    buckets, places, size, n = [], [], 0, 0
+    for words in words_of(batch["text"]):
+        count = len(range(0, max(len(words) - WINDOW // 2, 1), WINDOW))
+        bucket = _bucket(words[: count * WINDOW])
+        for at in range(0, len(bucket), step):  # a long text passage by passage
+            part = bucket[at : at + step]
+            buckets.append(part)
+            places.append(n + np.arange(len(part)) // WINDOW)
+            n = int(places[-1][-1]) + 1
+            size += len(part)
+            if size >= _PIECE:
+                yield np.concatenate(buckets), np.concatenate(places)
+                buckets, places, size, n = [], [], 0, 0
+    if buckets:
+        yield np.concatenate(buckets), np.concatenate(places)
 
 
 def _product(weight: np.ndarray, right: np.ndarray):
@@ -77,12 +92,18 @@ def _product(weight: np.ndarray, right: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((BUCKETS, right.shape[1]), np.float32)
         for batch in batches:
-            for words in words_of(batch["text"]):
-                for passage in _passages(words):
-                    at, times = np.unique(_bucket(passage), return_counts=True)
-                    a = weight[at] * times
-                    a = a / max(float(np.sqrt((a * a).sum())), 1e-9)
-                    total[at] += np.outer(a, a @ right[at]).astype(np.float32)
+            for bucket, place in _passages(batch):
+                cell, times = np.unique(place << BUCKET_BITS | bucket, return_counts=True)
+                place, at = cell >> BUCKET_BITS, cell & (BUCKETS - 1)
+                a = weight[at] * times
+                first = np.flatnonzero(np.diff(place, prepend=-1))
+                a = a / np.maximum(np.sqrt(np.add.reduceat(a * a, first)), 1e-9)[place]
+                a = a.astype(np.float32)[:, None]
+                image = np.add.reduceat(right[at] * a, first)
+                order = np.argsort(at, kind="stable")
+                at = at[order]
+                first = np.flatnonzero(np.diff(at, prepend=-1))
+                total[at[first]] += np.add.reduceat(image[place[order]] * a[order], first)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(16), pa.int32()), pa.array([total[k * part : (k + 1) * part].tobytes() for k in range(16)], pa.binary())],
             ["part", "sums"],
@@ -110,9 +131,9 @@ def latent_space(passages: DataFrame, weight: np.ndarray, rank: int = RANK, roun
     basis = np.random.default_rng(7).standard_normal((BUCKETS, rank + EXTRA)).astype(np.float32)
     for _ in range(rounds):
         sums = (
-            passages.select("text").repartition(8)
+            passages.select("text")
             .mapInArrow(_product(weight, basis), "part int, sums binary")
-            .repartition("part").mapInArrow(_summed, "part int, sums binary").collect()
+            .repartition(16, "part").mapInArrow(_summed, "part int, sums binary").collect()
         )
         image = np.concatenate([np.frombuffer(r.sums, np.float32) for r in sorted(sums, key=lambda r: r.part)])
         image = image.reshape(BUCKETS, -1)
@@ -297,13 +318,6 @@ def _search(table: np.ndarray, items: Items, cosine: float):
     return run
 
 
-def _smallest(rows: DataFrame, n: int) -> DataFrame:
-    """The texts of the `n` rows of smallest hash."""
-    name = F.xxhash64(*rows.columns)
-    last = rows.where("text is not null").select(name.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
-    return rows.where(F.col("text").isNotNull() & (name <= last)).select("text")
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) -> DataFrame:
     """One row per document and benchmark item found in it.
 
@@ -320,8 +334,8 @@ copies of any length among them), others from `cosine` on.  Null or
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     benchmark = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     weight = bucket_weights(docs)
-    sample = _smallest(docs, SAMPLE_DOCUMENTS).union(benchmark.where("text is not null").select("text"))
-    table = _projected(weight, latent_space(sample, weight))
+    passages = docs.select("text").union(benchmark.select("text")).where("text is not null")
+    table = _projected(weight, latent_space(passages, weight))
     blocks = -(-benchmark.count() // ITEMS_AT_ONCE)
     schema = "doc_id long, item_id long, start_word long, cosine double, copied double, answered double"
     out = docs.sparkSession.createDataFrame([], schema)

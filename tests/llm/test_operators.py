@@ -6,6 +6,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shopgrain.llm import (
@@ -304,6 +305,31 @@ def test_common_subsequence():
     assert list(word_hashes("A b")) == list(word_hashes("a\nB"))
 
 
+def test_latent_space_is_fitted_to_all_texts(docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(decontamination, "latent_space", lambda p, w: seen.append(p) or np.zeros((decontamination.BUCKETS, 4)))
+    rows = [(k, f"one two {k}") for k in range(2_500)] + [(None, None), (-1, "")]
+    decontamination.leaks(docs(rows), docs([(1, "an item")]).select(F.col("doc_id").alias("item_id"), "text"))
+    assert seen[0].distinct().count() == 2_500 + 1 + 1  # the documents, the empty text and the item
+
+
+def test_product_of_passages_is_the_plain_one():
+    texts = [prose(k, n) for k, n in enumerate([0, 1, 24, 48, 60, 73, 120, 9_000])] + ["a a a b"]
+    weight = np.linspace(0.5, 2, decontamination.BUCKETS).astype(np.float32)
+    right = np.random.default_rng(1).standard_normal((decontamination.BUCKETS, 5)).astype(np.float32)
+    want = np.zeros((decontamination.BUCKETS, 5))
+    for text in texts:
+        bucket = decontamination._bucket(word_hashes(text))
+        for at in range(0, max(len(bucket) - 24, 1), 48):
+            a = np.bincount(bucket[at : at + 48], minlength=len(weight)) * weight
+            a = a / max(np.sqrt((a * a).sum()), 1e-9)
+            want += np.outer(a, a @ right)
+    batch = pa.RecordBatch.from_pydict({"text": [None, *texts]})
+    (out,) = decontamination._product(weight, right)(iter([batch]))
+    got = np.concatenate([np.frombuffer(x, np.float32) for x in out["sums"].to_pylist()]).reshape(want.shape)
+    assert np.allclose(got, want, rtol=1e-3, atol=1e-4)
+
+
 def test_context_mixing(docs):
     rows = [(k, prose(k % 30, 60)) for k in range(120)] + ODD
     learns = F.col("doc_id") % 5 != 1
