@@ -128,10 +128,12 @@ def latent_space(passages: DataFrame, weight: np.ndarray, rank: int = RANK, roun
     Each round is one distributed product with the passage matrix and its
     transpose; only the buckets x (rank + EXTRA) result reaches the driver.
     """
+    # Each task sends a whole table of sums, so their number must not grow with the input.
+    few = 2 * passages.sparkSession.sparkContext.defaultParallelism
     basis = np.random.default_rng(7).standard_normal((BUCKETS, rank + EXTRA)).astype(np.float32)
     for _ in range(rounds):
         sums = (
-            passages.select("text")
+            passages.select("text").coalesce(few)
             .mapInArrow(_product(weight, basis), "part int, sums binary")
             .repartition(16, "part").mapInArrow(_summed, "part int, sums binary").collect()
         )
