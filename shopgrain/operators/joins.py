@@ -9,7 +9,7 @@ of the smaller side, and the left side moves once however hot its keys are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopgrain.operators.rollups import (
@@ -32,9 +32,13 @@ def order_context(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     """Status flags, delivery and review figures of every known order id.
 
     Either side may lack an order.  A full join leaves its merged key without
-    a known partitioning, so what is joined to it is free to be split.
+    a known partitioning, so what is joined to it is free to be split.  Rows of
+    an order id that is there more than once are numbered by `nth`, in the
+    order in which the join sorts them anyway.
     """
-    return order_facts(orders).join(review_totals(reviews), "order_id", "full")
+    nth = F.row_number().over(Window.partitionBy("order_id").orderBy("order_id"))
+    facts = order_facts(orders).withColumn("nth", nth)
+    return facts.join(review_totals(reviews), "order_id", "full")
 
 
 def with_coordinates(

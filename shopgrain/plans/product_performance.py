@@ -32,12 +32,16 @@ def product_totals(
 
     Status counts and review figures weigh an order once per item of it, the
     order count does not.  Items move once, to a join that can split a busy
-    order id; the (product, order) pairs are formed where that join left them
-    and combined per product before they move again.  Sellers need no order and
-    are counted apart.
+    order id, and are combined per product before they move again.  Distinct
+    orders and sellers need no order row and are counted apart, each over two
+    narrow columns: in one aggregate with the sums they would keep all of them
+    for every (product, order) pair in memory.
     """
     price, freight = F.col("price"), F.col("freight_value")
     sold = items.where(F.col("product_id").isNotNull())
+    distinct_orders = sold.groupBy("product_id").agg(
+        F.count_distinct("order_id").alias("total_orders")
+    )
     sellers = sold.groupBy("product_id").agg(
         F.count_distinct("seller_id").alias("unique_sellers")
     )
@@ -48,7 +52,6 @@ def product_totals(
         .join(order_context(orders, reviews), "order_id", "left")
         .groupBy("product_id")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
             F.count("order_item_id").alias("total_units_sold"),
             round2(amount_sum(price)).alias("total_revenue"),
             round2(amount_avg(price)).alias("avg_price"),
@@ -62,7 +65,7 @@ def product_totals(
             F.count_if("is_canceled").alias("canceled_orders"),
         )
     )
-    return sales.join(sellers, "product_id", "left")
+    return sales.join(distinct_orders, "product_id", "left").join(sellers, "product_id", "left")
 
 
 def product_performance(tables: Mapping[str, DataFrame]) -> DataFrame:
