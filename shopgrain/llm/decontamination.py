@@ -36,6 +36,7 @@ ANSWER_SHARE = 0.8
 SHORT_ITEM = 8
 ITEMS_AT_ONCE = 10_000
 _PIECE = 8_192  # words of a text that are projected together
+_MATRIX = 768  # words of passages that are multiplied together: few enough that most of their cells are used
 
 
 def _bucket(words: np.ndarray) -> np.ndarray:
@@ -67,7 +68,7 @@ def bucket_weights(docs: DataFrame) -> np.ndarray:
 
 def _passages(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Buckets of many passages' words, and which passage each word is of."""
-    step = _PIECE // WINDOW * WINDOW
+    step = _MATRIX // WINDOW * WINDOW
     buckets, places, size, n = [], [], 0, 0
     for words in words_of(batch["text"]):
         count = len(range(0, max(len(words) - WINDOW // 2, 1), WINDOW))
@@ -78,7 +79,7 @@ def _passages(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             places.append(n + np.arange(len(part)) // WINDOW)
             n = int(places[-1][-1]) + 1
             size += len(part)
-            if size >= _PIECE:
+            if size >= _MATRIX:
                 yield np.concatenate(buckets), np.concatenate(places)
                 buckets, places, size, n = [], [], 0, 0
     if buckets:
@@ -91,19 +92,18 @@ def _product(weight: np.ndarray, right: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((BUCKETS, right.shape[1]), np.float32)
+        column = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for bucket, place in _passages(batch):
-                cell, times = np.unique(place << BUCKET_BITS | bucket, return_counts=True)
-                place, at = cell >> BUCKET_BITS, cell & (BUCKETS - 1)
-                a = weight[at] * times
-                first = np.flatnonzero(np.diff(place, prepend=-1))
-                a = a / np.maximum(np.sqrt(np.add.reduceat(a * a, first)), 1e-9)[place]
-                a = a.astype(np.float32)[:, None]
-                image = np.add.reduceat(right[at] * a, first)
-                order = np.argsort(at, kind="stable")
-                at = at[order]
-                first = np.flatnonzero(np.diff(at, prepend=-1))
-                total[at[first]] += np.add.reduceat(image[place[order]] * a[order], first)
+                seen = np.zeros(BUCKETS, bool)
+                seen[bucket] = True
+                found = np.flatnonzero(seen)
+                column[found] = np.arange(len(found))
+                rows, wide = int(place[-1]) + 1, len(found)
+                times = np.bincount(place * wide + column[bucket], minlength=rows * wide)
+                a = times.reshape(rows, wide).astype(np.float32) * weight[found]
+                a /= np.maximum(np.sqrt((a * a).sum(1, keepdims=True)), 1e-9)
+                total[found] += a.T @ (a @ right[found])
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(16), pa.int32()), pa.array([total[k * part : (k + 1) * part].tobytes() for k in range(16)], pa.binary())],
             ["part", "sums"],
