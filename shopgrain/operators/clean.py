@@ -13,6 +13,7 @@ from shopgrain.operators.joins import own_shuffle
 # Trimmed, lower-case spellings of "no value".
 NULL_TOKENS = ["", "null", "none", "na", "n/a", "nan"]
 NULL_MARK = "NA"
+_LONGEST_TOKEN = max(len(t.encode()) for t in NULL_TOKENS)
 
 
 def _strings(df: DataFrame) -> set[str]:
@@ -40,7 +41,8 @@ def unify_nulls(df: DataFrame, mark: str | None = NULL_MARK) -> DataFrame:
 
 
 def _unified(c: Column, mark: str | None) -> Column:
-    is_token = F.lower(c).isin(NULL_TOKENS)
+    # Longer text is not lowered: no letter of a token is the lower case of one of more bytes.
+    is_token = (F.octet_length(c) <= _LONGEST_TOKEN) & F.lower(c).isin(NULL_TOKENS)
     return F.when(is_token, F.lit(mark).cast("string")).otherwise(c)
 
 

@@ -28,8 +28,9 @@ def whole_number(c: Column) -> Column:
     """
     digits = F.regexp_extract(c, r"^\s*([+-]?\d+)(\.\d*)?\s*$", 1)
     # Decimals alone are a number below one; a lone point is none.
-    below_one = c.rlike(r"^\s*[+-]?\.\d+\s*$")
-    return F.when(below_one, 0).otherwise(F.nullif(digits, F.lit("")).try_cast("int"))
+    # They are looked for only where no digits were found.
+    below_one = F.when(c.rlike(r"^\s*[+-]?\.\d+\s*$"), 0)
+    return F.coalesce(F.nullif(digits, F.lit("")).try_cast("int"), below_one)
 
 
 def _parsed(c: Column, kind: str) -> Column:
