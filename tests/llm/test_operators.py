@@ -476,3 +476,15 @@ def test_paragraphs_with_one_word_changed_against_brute_force(docs):
 def test_a_paragraph_is_no_copy_of_its_own_piece(docs):
     rows = [(1, prose(41, 11) + " " + "tail. of two"), (2, prose(42, 200))]
     assert passages.repeated_passages(docs(rows)).count() == 0
+
+
+def test_context_mixing_blocks_are_the_plain_ones():
+    texts = ["B a b\n\tA", None, "", " x\x0bé É ", "\xa0 a"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [5, 6, 7, 8, None], "text": texts, "learn": [True, False, True, True, False]})
+    kinds = np.eye(context_mixing.KINDS, 256, k=32)  # kind 0: spaces
+    for some in (batch, batch.slice(1)):
+        (block,) = context_mixing.Block.all(iter([some]), kinds)
+        bounds = np.cumsum([0, *block.sizes]).tolist()
+        got = [[block.words[k] for k in block.places[a:b]] for a, b in itertools.pairwise(bounds)]
+        kind = [bytes([int((kinds @ context_mixing.profile(np.frombuffer((t or "").encode(), np.uint8))).argmax())]) for t in some["text"].to_pylist()]
+        assert got == [[k + w for w in (t or "").encode().lower().split()] for k, t in zip(kind, some["text"].to_pylist(), strict=True)]
