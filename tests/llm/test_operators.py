@@ -478,6 +478,33 @@ def test_a_paragraph_is_no_copy_of_its_own_piece(docs):
     assert passages.repeated_passages(docs(rows)).count() == 0
 
 
+def test_byte_bpe_splits_texts_as_arrays():
+    r = random.Random(4)
+    odd = ["a", "é", " ", " ", "\n", "\n", "\t", "\xa0", "　", "\x1c", "\0", "\x01", "'s", "\r", "\x85"]
+    texts = ["".join(r.choices(odd if k % 2 else odd[:6], k=r.randrange(12))) for k in range(600)]
+    texts += [None, "".join(map(chr, range(40)))]
+    for some in (pa.array(texts), pa.array(texts[:-1]).slice(3), pa.array([], pa.string())):
+        words, bounds = bpe.split(some)
+        got = [words.slice(a, b - a).to_pylist() for a, b in itertools.pairwise(bounds.tolist())]
+        assert got == [bpe._WORDS(t or "") for t in some.to_pylist()]
+    (block,) = bpe.Block.all(iter([pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["b a b\na"]})]), True)
+    assert block.words.to_pylist() == ["b", " a", " b", "\n", "a"]  # no Python string for every word
+
+
+def test_byte_bpe_encodes_words_of_many_rows_at_once(docs, monkeypatch):
+    ranks = bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    merger, find = bpe.Merger(ranks), __import__("regex").compile(P.PATTERN).findall
+    words = [" don't", "abc", " 12x", "\n", "x" * 60, " ", " éa"]
+    start, size, flat = bpe.encoded_words(pa.array(words, pa.large_string()), merger, find)
+    want = [[i for x in find(w) for i in bpe.merge(x.encode(), ranks)] for w in words]
+    assert [flat[a : a + n].tolist() for a, n in zip(start, size, strict=True)] == want
+    rows = [(k, f"{prose(k, 80)}\n{'  ' * (k % 3)} end") for k in range(60)]
+    whole = {x.doc_id: list(x.ids) for x in bpe.encode(docs(rows), ranks, P.PATTERN).collect()}
+    monkeypatch.setattr(bpe, "_TOGETHER", 5)
+    monkeypatch.setattr(bpe, "_MOST", 20)
+    assert whole == {x.doc_id: list(x.ids) for x in bpe.encode(docs(rows), ranks, P.PATTERN).collect()}
+
+
 def test_context_mixing_blocks_are_the_plain_ones():
     texts = ["B a b\n\tA", None, "", " x\x0bé É ", "\xa0 a"]
     batch = pa.RecordBatch.from_pydict({"doc_id": [5, 6, 7, 8, None], "text": texts, "learn": [True, False, True, True, False]})
