@@ -515,3 +515,17 @@ def test_context_mixing_blocks_are_the_plain_ones():
         got = [[block.words[k] for k in block.places[a:b]] for a, b in itertools.pairwise(bounds)]
         kind = [bytes([int((kinds @ context_mixing.profile(np.frombuffer((t or "").encode(), np.uint8))).argmax())]) for t in some["text"].to_pylist()]
         assert got == [[k + w for w in (t or "").encode().lower().split()] for k, t in zip(kind, some["text"].to_pylist(), strict=True)]
+
+
+def test_leaks_judge_only_texts_with_enough_words(monkeypatch):
+    items = [{"item_id": k, "text": prose(1000 + k, 40)} for k in range(6)] + [{"item_id": 6, "text": "three short words"}]
+    rows = [type("Row", (), x) for x in items]
+    table = np.ones((decontamination.BUCKETS, 4), np.float32)  # every window is like every item
+    calls, judge = [], decontamination._judge
+    monkeypatch.setattr(decontamination, "_judge", lambda *x: calls.append(x) or judge(*x))
+    texts = [" ".join(f"q{n}w{k}" for k in range(300)) for n in range(4)] + ["", None, f"{prose(7, 30)} {items[2]['text']}"]
+    texts += ["so three short words", "z " * 9_000 + items[4]["text"]]
+    run = decontamination._search(table, decontamination._items(rows, table), 0.3)
+    (out,) = run(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})]))
+    assert set(zip(out["doc_id"].to_pylist(), out["item_id"].to_pylist(), strict=True)) == {(6, 2), (7, 6), (8, 4)}
+    assert calls and all(set(c[2]) & set(c[0].tolist()) for c in calls)  # none for texts without the item's words
