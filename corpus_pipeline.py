@@ -52,8 +52,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     prepared(spark)
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return bpe.decode(ids, ranks).select(
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.decode("bytes", "UTF-8").alias("text")
     )
 

@@ -529,3 +529,14 @@ def test_leaks_judge_only_texts_with_enough_words(monkeypatch):
     (out,) = run(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})]))
     assert set(zip(out["doc_id"].to_pylist(), out["item_id"].to_pylist(), strict=True)) == {(6, 2), (7, 6), (8, 4)}
     assert calls and all(set(c[2]) & set(c[0].tolist()) for c in calls)  # none for texts without the item's words
+
+
+def test_byte_bpe_decodes_where_documents_are_put_together(docs):
+    ranks = bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    rows = [*ODD, (1, "b a b\na  c"), (1, "b a b\na  c"), (3, "straße 　 x" * 40)]
+    want = sorted((str(x.doc_id), list(x.ids), bytes(x.bytes)) for x in bpe.decode(bpe.encode(docs(rows), ranks, P.PATTERN), ranks).collect())
+    done = bpe.encode(docs(rows), ranks, P.PATTERN, decoded=True)
+    assert want == sorted((str(x.doc_id), list(x.ids), bytes(x.bytes)) for x in done.collect())
+    # Words, their ids, streams and the documents: one Python worker for each task, none for decoding alone.
+    for plan in (done, bpe.digests(docs(rows), ranks, P.PATTERN)):
+        assert plan._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 4
