@@ -36,7 +36,9 @@ ANSWER_SHARE = 0.8
 SHORT_ITEM = 8
 ITEMS_AT_ONCE = 10_000
 _PIECE = 8_192  # words of a text that are projected together
-_MATRIX = 768  # words of passages that are multiplied together: few enough that most of their cells are used
+_PASSAGES = 1024  # whose words are put in order together
+_TOGETHER = 256  # rows that are added up together, few enough for a core's cache
+_LEVELS = 24  # of rows that are added one by one
 
 
 def _bucket(words: np.ndarray) -> np.ndarray:
@@ -66,24 +68,56 @@ def bucket_weights(docs: DataFrame) -> np.ndarray:
     return weight
 
 
-def _passages(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Buckets of many passages' words, and which passage each word is of."""
-    step = _MATRIX // WINDOW * WINDOW
-    buckets, places, size, n = [], [], 0, 0
+def _passages(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """Buckets of the words of many passages, one in each row; BUCKETS where a passage has no more words."""
+    found, n = [], 0
     for words in words_of(batch["text"]):
+        if not len(words):
+            continue
         count = len(range(0, max(len(words) - WINDOW // 2, 1), WINDOW))
-        bucket = _bucket(words[: count * WINDOW])
-        for at in range(0, len(bucket), step):  # a long text passage by passage
-            part = bucket[at : at + step]
-            buckets.append(part)
-            places.append(n + np.arange(len(part)) // WINDOW)
-            n = int(places[-1][-1]) + 1
-            size += len(part)
-            if size >= _MATRIX:
-                yield np.concatenate(buckets), np.concatenate(places)
-                buckets, places, size, n = [], [], 0, 0
-    if buckets:
-        yield np.concatenate(buckets), np.concatenate(places)
+        bucket = np.full(count * WINDOW, BUCKETS, np.int32)
+        bucket[: len(words)] = _bucket(words[: count * WINDOW])
+        found.append(bucket.reshape(-1, WINDOW))
+        n += count
+        if n >= _PASSAGES:
+            whole = np.concatenate(found)
+            yield from (whole[at : at + _PASSAGES] for at in range(0, n, _PASSAGES))
+            found, n = [], 0
+    if found:
+        yield np.concatenate(found)
+
+
+def _add_rows(total: np.ndarray, at: np.ndarray, row: np.ndarray, rows: np.ndarray) -> None:
+    """Adds the rows numbered `row` to those of `total` that `at` (sorted) names.
+
+    Names with many rows take a product with the matrix of their counts.  The
+    others are ordered by how many they have, so that those with a first, a
+    second, ... row are always the leading ones.
+    """
+    start = np.flatnonzero(np.diff(at, prepend=-1))
+    count = np.diff(start, append=len(at))
+    often = np.flatnonzero(count > _LEVELS)
+    if len(often):
+        entry = _entries(start[often], count[often])
+        cell = np.repeat(np.arange(len(often)) * len(rows), count[often]) + row[entry]
+        times = np.bincount(cell, minlength=len(often) * len(rows)).reshape(len(often), -1)
+        total[at[start[often]]] += times.astype(np.float32) @ rows
+    order = np.argsort(-count, kind="stable")[len(often) :]
+    start, count = start[order], count[order]
+    spare = np.empty((_TOGETHER, rows.shape[1]), rows.dtype)
+    for k in range(0, len(start), _TOGETHER):
+        first, many = start[k : k + _TOGETHER], count[k : k + _TOGETHER]
+        sums = np.take(rows, row[first], 0)
+        for level in range(1, int(many[0])):
+            n = int(np.searchsorted(-many, -level, "left"))  # those with more than `level`
+            sums[:n] += np.take(rows, row[first[:n] + level], 0, spare[:n], "clip")
+        total[at[first]] += sums
+
+
+def _entries(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of the given runs, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1])
 
 
 def _product(weight: np.ndarray, right: np.ndarray):
@@ -92,30 +126,28 @@ def _product(weight: np.ndarray, right: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The weights are put on `right` and on the sums, the norms on the products.
-        # Frequent buckets come first, so that most rows that are used lie together.
-        order = np.argsort(weight, kind="stable")
-        rank = np.empty(BUCKETS, np.int32)
-        rank[order] = np.arange(BUCKETS)
-        weighted, square = (right * weight[:, None])[order], (weight * weight)[order]
+        weighted = np.concatenate([right * weight[:, None], np.zeros((1, right.shape[1]))]).astype(np.float32)
+        square = weight.astype(np.float64) ** 2
         total = np.zeros((BUCKETS, right.shape[1]), np.float32)
-        column = np.zeros(BUCKETS, np.int64)
+        spare = np.empty((_TOGETHER, right.shape[1]), np.float32)
         for batch in batches:
-            for bucket, place in _passages(batch):
-                bucket = rank[bucket]
-                seen = np.zeros(BUCKETS, bool)
-                seen[bucket] = True
-                found = np.flatnonzero(seen)
-                wide = len(found)
-                column[found] = np.arange(wide)
-                rows = int(place[-1]) + 1
-                times = np.bincount(place * wide + column[bucket], minlength=rows * wide).reshape(rows, wide).astype(np.float32)
-                norm = np.maximum((times * times) @ square[found], 1e-18)
-                product = times @ np.take(weighted, found, 0)
-                product /= norm[:, None]
-                sums = np.take(total, found, 0)
-                sums += times.T @ product
-                total[found] = sums
-        total = total[rank] * weight[:, None]
+            for bucket in _passages(batch):
+                n = len(bucket)
+                product = np.empty((n, right.shape[1]), np.float32)
+                for at in range(0, n, _TOGETHER):
+                    some = np.ascontiguousarray(bucket[at : at + _TOGETHER].T)
+                    sums = np.take(weighted, some[0], 0, product[at : at + _TOGETHER], "clip")
+                    for k in range(1, WINDOW):
+                        sums += np.take(weighted, some[k], 0, spare[: len(sums)], "clip")
+                word = np.sort((bucket * n + np.arange(n, dtype=np.int32)[:, None]).ravel())
+                word = word[: np.searchsorted(word, BUCKETS * n)]
+                name, row = np.divmod(word, n)
+                first = np.flatnonzero(np.diff(word, prepend=-1))
+                times = np.diff(first, append=len(word))
+                norm = np.bincount(row[first], times * times * square[name[first]], n)
+                product /= np.maximum(norm, 1e-18).astype(np.float32)[:, None]
+                _add_rows(total, name, row, product)
+        total *= weight[:, None]
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(16), pa.int32()), pa.array([total[k * part : (k + 1) * part].tobytes() for k in range(16)], pa.binary())],
             ["part", "sums"],

@@ -540,3 +540,25 @@ def test_byte_bpe_decodes_where_documents_are_put_together(docs):
     # Words, their ids, streams and the documents: one Python worker for each task, none for decoding alone.
     for plan in (done, bpe.digests(docs(rows), ranks, P.PATTERN)):
         assert plan._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 4
+
+
+def test_product_adds_rows_of_rare_and_frequent_names(monkeypatch):
+    r = np.random.default_rng(3)
+    rows = r.integers(-9, 9, (40, 3)).astype(np.float32)
+    at = np.sort(np.concatenate([np.repeat(5, 90), np.repeat(7, 4), r.integers(8, 30, 60)]))
+    row = r.integers(0, 40, len(at))
+    want = np.ones((30, 3))
+    np.add.at(want, at, rows[row])
+    for levels, together in ((3, 2), (200, 4), (0, 1)):
+        monkeypatch.setattr(decontamination, "_LEVELS", levels)
+        monkeypatch.setattr(decontamination, "_TOGETHER", together)
+        total = np.ones((30, 3), np.float32)
+        decontamination._add_rows(total, at, row, rows)
+        assert np.array_equal(total, want)
+    # A text longer than one piece gives the same passages as its parts.
+    monkeypatch.setattr(decontamination, "_PASSAGES", 2)
+    batch = pa.RecordBatch.from_pydict({"text": ["", prose(1, 48 * 5 + 25), None, prose(2, 7)]})
+    pieces = list(decontamination._passages(batch))
+    assert [len(x) for x in pieces] == [2, 2, 2, 1][: len(pieces)] and sum(map(len, pieces)) == 7
+    words = [decontamination._bucket(word_hashes(t)).tolist() for t in batch["text"].to_pylist() if t]
+    assert [b for x in pieces for b in x.ravel().tolist() if b < decontamination.BUCKETS] == words[0] + words[1]
