@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from shopgrain.llm.arrow import longs
 from shopgrain.llm.words import SHINGLE, runs_of_words, word_hashes, words_of
+from shopgrain.llm.work import Work
 
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
@@ -45,21 +46,41 @@ def _bucket(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
 
 
+def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [_bucket(words).astype(np.uint16).tobytes() for words in words_of(batch["text"])]
+        missing = batch["text"].is_null().to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays([batch["id"], batch["item"], pa.array(rows, pa.binary(), mask=missing)], ["id", "item", "buckets"])
+
+
+def _buckets_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The buckets of each row's words, as they were stored or of its text."""
+    if "buckets" in batch.schema.names:
+        for data in batch["buckets"].to_pylist():
+            yield np.frombuffer(data or b"", np.uint16)
+    else:
+        yield from map(_bucket, words_of(batch["text"]))
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen, rows = np.zeros(BUCKETS, np.int64), 0
     for batch in batches:
-        for words in words_of(batch["text"]):
+        for bucket in _buckets_of(batch):
             mark = np.zeros(BUCKETS, bool)
-            mark[_bucket(words)] = True
+            mark[bucket] = True
             seen += mark
             rows += 1
     at = np.flatnonzero(seen)
     yield pa.RecordBatch.from_arrays([longs(np.append(at, -1)), longs(np.append(seen[at], rows))], ["bucket", "rows"])
 
 
+def _column(rows: DataFrame) -> list[str]:
+    return ["buckets" if "buckets" in rows.columns else "text"]
+
+
 def bucket_weights(docs: DataFrame) -> np.ndarray:
-    """Inverse document frequency of each bucket, counted over all documents."""
-    found = docs.select("text").mapInArrow(_frequencies, "bucket long, rows long").groupBy("bucket").agg(F.sum("rows").alias("rows"))
+    """Inverse document frequency of each bucket, counted over all documents (their text or stored buckets)."""
+    found = docs.select(*_column(docs)).mapInArrow(_frequencies, "bucket long, rows long").groupBy("bucket").agg(F.sum("rows").alias("rows"))
     rows = {r.bucket: r.rows for r in found.collect()}  # one per bucket at most
     total = rows.pop(-1, 0)
     weight = np.full(BUCKETS, np.log1p(total), np.float32)
@@ -71,12 +92,12 @@ def bucket_weights(docs: DataFrame) -> np.ndarray:
 def _passages(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     """Buckets of the words of many passages, one in each row; BUCKETS where a passage has no more words."""
     found, n = [], 0
-    for words in words_of(batch["text"]):
+    for words in _buckets_of(batch):
         if not len(words):
             continue
         count = len(range(0, max(len(words) - WINDOW // 2, 1), WINDOW))
         bucket = np.full(count * WINDOW, BUCKETS, np.int32)
-        bucket[: len(words)] = _bucket(words[: count * WINDOW])
+        bucket[: len(words)] = words[: count * WINDOW]
         found.append(bucket.reshape(-1, WINDOW))
         n += count
         if n >= _PASSAGES:
@@ -169,15 +190,15 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def latent_space(passages: DataFrame, weight: np.ndarray, rank: int = RANK, rounds: int = 2) -> np.ndarray:
     """Projection (buckets x rank) of weighted rows onto the leading singular vectors.
 
-    Each round is one distributed product with the passage matrix and its
-    transpose; only the buckets x (rank + EXTRA) result reaches the driver.
+    `passages` are texts or stored buckets.  Each round is one distributed
+    product with the passage matrix and its transpose; only the buckets x (rank + EXTRA) result reaches the driver.
     """
     # Each task sends a whole table of sums, so their number must not grow with the input.
     few = 2 * passages.sparkSession.sparkContext.defaultParallelism
     basis = np.random.default_rng(7).standard_normal((BUCKETS, rank + EXTRA)).astype(np.float32)
     for _ in range(rounds):
         sums = (
-            passages.select("text").coalesce(few)
+            passages.select(*_column(passages)).coalesce(few)
             .mapInArrow(_product(weight, basis), "part int, sums binary")
             .repartition(16, "part").mapInArrow(_summed, "part int, sums binary").collect()
         )
@@ -450,9 +471,13 @@ copies of any length among them), others from `cosine` on.  Null or
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     benchmark = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    weight = bucket_weights(docs)
-    passages = docs.select("text").union(benchmark.select("text")).where("text is not null")
-    table = _projected(weight, latent_space(passages, weight))
+    # Words are cut and hashed once for the counts and both rounds of the fit.  The
+    # table, two bytes a word, goes with the program's or the stage's other tables.
+    work = Work(docs.sparkSession)
+    texts = docs.select("doc_id", F.lit(False), "text").union(benchmark.select("item_id", F.lit(True), "text")).toDF("id", "item", "text")
+    stored = work.put(texts.mapInArrow(_bucketed, "id long, item boolean, buckets binary"), "buckets")
+    weight = bucket_weights(stored.where("not item"))
+    table = _projected(weight, latent_space(stored.where("buckets is not null"), weight))
     blocks = -(-benchmark.count() // ITEMS_AT_ONCE)
     schema = "doc_id long, item_id long, start_word long, cosine double, copied double, answered double"
     out = docs.sparkSession.createDataFrame([], schema)
@@ -467,8 +492,6 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Rows that share a doc_id go together; rows without one stay.
     """
-    from shopgrain.llm.work import Work
-
     work = Work(docs.sparkSession)
     gone = work.put(leaks(docs, benchmark).where("doc_id is not null").select("doc_id").distinct(), "leaks")
     near = F.broadcast(gone) if work.small(gone) else gone

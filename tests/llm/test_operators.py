@@ -562,3 +562,17 @@ def test_product_adds_rows_of_rare_and_frequent_names(monkeypatch):
     assert [len(x) for x in pieces] == [2, 2, 2, 1][: len(pieces)] and sum(map(len, pieces)) == 7
     words = [decontamination._bucket(word_hashes(t)).tolist() for t in batch["text"].to_pylist() if t]
     assert [b for x in pieces for b in x.ravel().tolist() if b < decontamination.BUCKETS] == words[0] + words[1]
+
+
+def test_leaks_cut_words_once_for_the_fit(spark, docs, monkeypatch):
+    rows = [(k, prose(k, 60)) for k in range(30)] + [(None, None), (-1, "")]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(32)), "item": [False] * 32, "text": [t for _, t in rows]})
+    (stored,) = decontamination._bucketed(iter([batch]))
+    assert stored["buckets"].null_count == 1 and stored["buckets"].to_pylist()[-1] == b""
+    for of in (decontamination._passages, lambda x: [np.concatenate(list(decontamination._buckets_of(x)))]):
+        assert np.array_equal(np.concatenate(list(of(stored))), np.concatenate(list(of(batch))))
+    weight = decontamination.bucket_weights(docs(rows))
+    seen = []
+    monkeypatch.setattr(decontamination, "latent_space", lambda p, w: seen.append((p.columns, w)) or np.zeros((decontamination.BUCKETS, 4)))
+    decontamination.leaks(docs(rows), docs([(1, "an item")]).select(F.col("doc_id").alias("item_id"), "text"))
+    assert "buckets" in seen[0][0] and np.array_equal(seen[0][1], weight)
