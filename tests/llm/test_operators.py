@@ -576,3 +576,26 @@ def test_leaks_cut_words_once_for_the_fit(spark, docs, monkeypatch):
     monkeypatch.setattr(decontamination, "latent_space", lambda p, w: seen.append((p.columns, w)) or np.zeros((decontamination.BUCKETS, 4)))
     decontamination.leaks(docs(rows), docs([(1, "an item")]).select(F.col("doc_id").alias("item_id"), "text"))
     assert "buckets" in seen[0][0] and np.array_equal(seen[0][1], weight)
+
+
+def test_context_mixing_spells_a_word_once_and_deals_what_is_joined(monkeypatch):
+    rows = [(k, t) for k, t in enumerate([prose(1, 200), "a b  a\nc b", "", None, prose(2, 150), "Ä\x00 b"])]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [k for k, _ in rows], "text": [t for _, t in rows], "learn": [k % 2 == 0 for k, _ in rows]})
+    kinds = np.eye(context_mixing.KINDS, 256, k=32)
+    (block,) = context_mixing.Block.all(iter([batch]), kinds)
+    words = block.words
+    out = pa.Table.from_batches(context_mixing._dealt(7, kinds)(iter([batch]))).to_pylist()
+    seen = []
+    for x in out:
+        if x["part"] is not None:
+            at = np.cumsum(context_mixing._unpacked(x["places"])).tolist()
+            mine = [words[k] for k in at]
+            assert (x["words"], x["sizes"]) == context_mixing._join(mine)
+            assert {context_mixing.xxhash.xxh32_intdigest(w[1:]) % 7 for w in mine} == {x["part"]}
+            seen += at
+    assert sorted(seen) == list(range(len(words)))
+    spelled = []
+    monkeypatch.setattr(context_mixing.Mixer, "log10", lambda _, w: spelled.append(w) or np.array([-float(len(x)) for x in w]))
+    model = context_mixing.Model({b"two": 2}, np.arange(float(context_mixing.KINDS * 4)).reshape(-1, 4), context_mixing.new_mixer(None, None, [0.0]))
+    got = model.log10([b"\x01one", b"\x00two", b"\x02one", b"\x02other"])
+    assert got.tolist() == [4.0 - 3, 2.0, 8.0 - 3, 8.0 - 5] and spelled == [[b"one", b"other"]]
