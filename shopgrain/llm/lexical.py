@@ -270,7 +270,7 @@ def ranked(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     """The `top` best documents of every item: item_id, rank, doc_id, score."""
     work = Work(docs.sparkSession)
     documents, words = corpus_size(docs)
-    index = work.put(build_index(docs, documents, max(words, 1)), "treaps")
+    index = work.put(build_index(docs, documents, max(words, 1)), "treaps", large_rows=True)
     terms = work.put(item_terms(items), "terms")
     weighted = work.put(weights(index, terms.select("term").distinct(), documents), "weights")
     return search(index, terms, weighted, top)

@@ -6,12 +6,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from shopgrain.llm import hard_negatives, lexical, quality
 from shopgrain.llm.treap import Treap
-from shopgrain.llm.work import prepared
+from shopgrain.llm.work import Work, prepared
 
 TERMS = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -151,3 +152,22 @@ def test_quality_of_held_out_and_odd_texts(spark):
     # Without labels of both classes nothing is known.
     blank = quality.train(docs, labels.limit(0), quality.learnable())
     assert {x.score for x in quality.scored(docs, blank).collect()} == {0.5}
+
+
+def test_blocks_of_documents_are_written_a_few_at_a_time(spark, monkeypatch, tmp_path):
+    """A writer and a reader hold some 16 MB of them, however many a task has."""
+    prepared(spark)
+    paths = []
+    monkeypatch.setattr("shopgrain.llm.work.scratch_path", lambda _, label: paths.append(str(tmp_path / label)) or paths[-1])
+    block = F.expr("array_join(transform(sequence(1, 8200), k -> sha2(concat(id, ' ', k), 256)), '')")  # half a MB that does not shrink
+    rows = spark.range(0, 120, 1, 1).select("id", block.alias("block"))
+    assert Work(spark).put(rows, "large", large_rows=True).count() == 120
+    (file,) = (tmp_path / "llm-large").glob("*.parquet")
+    found = pq.ParquetFile(file).metadata
+    sizes = [found.row_group(k).total_byte_size for k in range(found.num_row_groups)]
+    assert sum(sizes) > 60 << 20 and max(sizes) < 20 << 20
+    large, put = {}, Work.put
+    monkeypatch.setattr(Work, "put", lambda self, df, label, large_rows=False: large.update({label: large_rows}) or put(self, df, label, large_rows))
+    docs = spark.createDataFrame([(1, "a b"), (2, "b c")], "doc_id long, text string")
+    assert lexical.ranked(docs, docs.withColumnRenamed("doc_id", "item_id")).count() == 4
+    assert large["treaps"]
