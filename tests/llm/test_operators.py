@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from shopgrain.llm import (
-    bpe, context_mixing, decontamination, fingerprints, language_id, line_dedup, near_duplicates, passages, toxicity, url_filter,
+    bpe, context_mixing, decontamination, fingerprints, language_id, line_dedup, near_duplicates, passages, toxicity, url_filter, word_contexts,
 )
 from shopgrain.llm.groups import candidates
 from shopgrain.llm.setsketch import jaccard, merge, sketch
@@ -599,3 +599,88 @@ def test_context_mixing_spells_a_word_once_and_deals_what_is_joined(monkeypatch)
     model = context_mixing.Model({b"two": 2}, np.arange(float(context_mixing.KINDS * 4)).reshape(-1, 4), context_mixing.new_mixer(None, None, [0.0]))
     got = model.log10([b"\x01one", b"\x00two", b"\x02one", b"\x02other"])
     assert got.tolist() == [4.0 - 3, 2.0, 8.0 - 3, 8.0 - 5] and spelled == [[b"one", b"other"]]
+
+
+def test_context_mixing_knows_the_words_before(docs):
+    r = random.Random(3)
+    texts = [prose(k % 40, 30) + f" rare{k % 40}word" for k in range(200)]
+    turned = [" ".join(r.sample(t.split(), len(t.split()))) for t in texts[:40]]
+    rows = [*enumerate(texts), *((1000 + k, t) for k, t in enumerate(texts[:40])), *((2000 + k, t) for k, t in enumerate(turned))]
+    got = {x.doc_id: x for x in context_mixing.score(docs(rows), F.col("doc_id") < 1000).collect()}
+    for k in range(40):
+        same, other = got[1000 + k], got[2000 + k]
+        assert (same.n_tokens, same.n_known) == (other.n_tokens, other.n_known)
+        assert same.base_score == pytest.approx(other.base_score)
+        # A text with the same words in another order is far less likely.
+        assert same.score > other.score + 10
+        assert same.score == pytest.approx(got[k].score, rel=1e-5) and same.score > same.base_score
+
+
+def test_word_contexts_against_plain_counts():
+    r = random.Random(8)
+    words = [b"zz", b"zy", *(f"w{k}".encode() for k in range(2, 16))]  # those with a code have that of their place
+    codes = np.array([0, 0, *range(2, 16)])
+    rare = pa.array(words[:2], pa.large_binary())
+    ids = word_contexts.word_ids(codes, words[:2], 4)
+    known = [[r.choice([2, 3, 4, 0, 1, 9]) for _ in range(r.randint(0, 9))] for _ in range(60)]
+    places = [np.array(t, np.int64) for t in [*known, [2, 3], [2, 3, 0], [2, 3, 1], *([2, 3, k] for k in range(2, 16))]]
+    flags = np.array([1] * 60 + [0] * (len(places) - 60))
+    salts = np.ones(16, np.uint64)
+    blocks = [word_contexts.deal(places[a::2], flags[a::2], codes, ids, rare, salts, 3) for a in (0, 1)]
+    found = {}
+    for block, some in enumerate(blocks):
+        for part, data in some:
+            found.setdefault(part, []).append((block, data))
+    events = []
+    for t, flag in zip(places, flags, strict=True):
+        before = [("start",), ("start",), *t.tolist()]
+        events += [(before[k], before[k + 1], w, flag) for k, w in enumerate([*t.tolist(), "end"])]
+
+    def bits(w):
+        return f"{1 if w == 'end' else codes[w]:04b}"
+
+    want = set()
+    for u, v, w, _ in events:
+        row = []
+        for k in range(4):
+            for context in ((v,), (u, v)):
+                alike = [bits(x[2]) for x in events if x[3] and x[2 - len(context) : 2] == context]
+                row.append((sum(x[:k] == bits(w)[:k] for x in alike), sum(x[: k + 1] == bits(w)[: k + 1] for x in alike)))
+        want.add((bits(w), *row))
+    odds = np.linspace(-2, 2, 16, dtype=np.float32)[None].repeat(2, 0)
+    mixer = word_contexts.WordMixer.of(np.random.default_rng(2).uniform(1, 3, (12, word_contexts.GATES, 4 + word_contexts.LEVELS)))
+    got, sums, whole = set(), [np.zeros(len(places[a::2])) for a in (0, 1)], 0
+    for held in found.values():
+        part = word_contexts.Part([d for _, d in held], salts, 4, 1)
+        rows = [[f"{c:04b}"] for c in (part.key >> np.uint64(1) & np.uint64(15)).tolist()]
+        two = (part.key >> np.uint64(1)).copy()
+        levels = list(word_contexts._levels(two, part.times, 4))
+        one, at = np.unique(part.one << np.uint64(4) | two & np.uint64(15), return_inverse=True)
+        for x, y in zip(word_contexts._levels(one, np.bincount(at, part.times), 4), levels, strict=True):
+            for n, row in enumerate(rows):
+                row += [(x[0][at[n]], x[1][at[n]]), (y[0][n], y[1][n])]
+        got |= {tuple(row) for row in rows}
+        own, spelled = word_contexts.score_part(part, mixer, odds, lambda w, _: np.zeros((8, sum(map(len, w)) + len(w)), np.float32))
+        for context in set((part.key >> np.uint64(5)).tolist()):
+            mine = np.flatnonzero(part.key >> np.uint64(5) == context)
+            if len(mine) == 16:  # every code came after it: they have probability one
+                whole += 1
+                assert (10 ** own[mine]).sum() == pytest.approx(1, abs=1e-5)
+        for block, data in held:
+            sums[block] += word_contexts.text_sums(part, data, salts, (own, spelled))
+    assert got == want and whole == 1
+    # Equal texts have equal scores, whatever block they are in; the spelled word counts twice.
+    assert all((x < 0).all() for x in sums)
+    assert sums[0][30] == pytest.approx([s for t, s in zip(places[0::2], sums[0]) if t.tolist() == [2, 3]][0])
+
+
+def test_word_contexts_learn_what_came():
+    r = np.random.default_rng(4)
+    x = r.normal(0, 2, (3, 20_000)).astype(np.float32)
+    x[1] = np.abs(x[1])  # the second input is always right
+    turn = word_contexts.Turn(x.shape[1])
+    turn.move(x, np.full(x.shape[1], 15), np.ones(x.shape[1]))
+    mixer = word_contexts.WordMixer.of(turn.cells()[None])
+    assert mixer.weights[0, 15, 1] > 1 > abs(mixer.weights[0, 15, 2])
+    assert np.allclose(mixer.refined + mixer.refined[..., ::-1], 1)
+    assert np.array_equal(mixer.weights[0, 0], word_contexts.first_weights()[0])
