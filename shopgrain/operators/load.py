@@ -63,14 +63,17 @@ def _same_key(left: DataFrame, right: DataFrame, keys: list[str], null_safe: boo
 
 
 def upsert(
-    target: DataFrame, batch: DataFrame, keys: list[str], null_safe: bool = False
+    target: DataFrame, batch: DataFrame, keys: list[str], null_safe: bool = False,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Batch rows replace target rows of the same key; all others stay.
 
     With plain equality a NULL key matches nothing and such rows pile up with
-    every load; `null_safe` makes a NULL a key like any other.
+    every load; `null_safe` makes a NULL a key like any other.  `known` has
+    those keys of the batch that may be in the target, where they were found
+    before: the target then meets these alone and not the whole batch.
     """
-    incoming = batch.select(keys).alias("incoming")
+    incoming = (batch if known is None else known).select(keys).alias("incoming")
     stay = target.alias("target").join(
         incoming,
         _same_key(target.alias("target"), incoming, keys, null_safe),
@@ -189,7 +192,7 @@ def load_fact(
         there = {d: load for d, load in state.days.items() if d in touched}
         rows = batch
         if there:
-            rows = upsert(states.read_days(spark, table, path, there), batch, keys, True)
+            rows = upsert(states.read_days(spark, table, path, there), batch, keys, True, known)
         _publish(spark, table, path, state, rows, touched, batch, known, size, keep)
 
 

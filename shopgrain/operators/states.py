@@ -202,16 +202,18 @@ def index_batch(
     A batch that is loaded again adds nothing, and many small parts are merged.
     """
     names = [*table.key, "sale_date"]
-    rows = batch.select(names).distinct()
+    bucket = _bucket(list(table.key))
+    rows = batch.select(*names, bucket)
     parts = state.keys
     if known is not None:
         rows = rows.join(known, _same(rows, known, names), "left_anti")
     if len(parts) >= KEY_PARTS:
-        rows = read_keys(spark, table, path, state).select(names).unionByName(rows).distinct()
+        rows = read_keys(spark, table, path, state).select(*names, bucket).unionByName(rows)
         tasks, parts = tasks * len(parts), ()
-    rows = rows.select(*names, _bucket(list(table.key)))
     (
+        # Equal rows are in one bucket, so they meet without another shuffle.
         rows.repartition(min(tasks, KEY_BUCKETS), "bucket")
+        .distinct()
         .sortWithinPartitions("bucket", *names)
         .write.partitionBy("bucket")
         .parquet(_keys_dir(path, load))

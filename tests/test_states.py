@@ -131,3 +131,24 @@ def test_repeated_rows_empty_batches_and_bad_keep(spark, make, tmp_path):
     assert _rows(load.read_fact(spark, ORDERS, path)) == [("a", "x", D2)]
     with pytest.raises(ValueError):
         load.load_fact(spark, ORDERS, path, make("orders", _order("a", D2)), keep=0)
+
+
+def test_old_rows_meet_only_the_known_keys_of_a_batch(spark, make, tmp_path, monkeypatch):
+    """A large batch is not shuffled against the days it touches."""
+    path = str(tmp_path / "orders")
+    load.load_fact(spark, ORDERS, path, make("orders", _order("a", D1), _order("b", D1), _order(None, D2)))
+    met, upsert = [], load.upsert
+
+    def seen(target, batch, keys, null_safe=False, known=None):
+        met.append(_rows(known.selectExpr("order_id", "'x' AS order_status", "sale_date")))
+        return upsert(target, batch, keys, null_safe, known)
+
+    monkeypatch.setattr(load, "upsert", seen)
+    new = [_order(f"n{k}", D1) for k in range(20)]
+    load.load_fact(spark, ORDERS, path, make("orders", _order("a", D3), _order(None, D1), *new, new[0]))
+    assert met == [[("None", "x", D2), ("a", "x", D1)]] or met == [[("a", "x", D1), ("None", "x", D2)]]
+    got = _rows(load.read_fact(spark, ORDERS, path))
+    assert sorted(got, key=str) == sorted([("a", "x", D3), ("b", "x", D1), ("None", "x", D1), *((f"n{k}", "x", D1) for k in [0, *range(20)])], key=str)
+    state = states.read_state(spark, path)
+    index = states.read_keys(spark, ORDERS, path, state).select("order_id", "sale_date")
+    assert index.count() == index.distinct().count() == 3 + 2 + 20
